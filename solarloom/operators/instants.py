@@ -10,37 +10,50 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.timeparse import NONE, to_instants
+from ..functions.zones import DEFAULT_ZONE, resolve_zone
 from ..sources.tables import latest_lines
 from .sizing import checked_side
 
 
-@F.pandas_udf("first_us long, last_us long")
+@F.pandas_udf(T.StructType([T.StructField("first_us", T.LongType()), T.StructField("last_us", T.LongType())]))
 def _instants(texts: pd.Series, day: pd.Series, lag: pd.Series, zone: pd.Series) -> pd.DataFrame:
-    expected = day.fillna(NONE).to_numpy(np.float64 if day.isna().any() else np.int64)
-    expected = np.where(day.isna(), NONE, day.fillna(0).to_numpy(np.int64)) if day.isna().any() else expected
+    expected = np.where(day.isna(), NONE, day.fillna(0).to_numpy(np.int64))
     return to_instants(texts, expected, lag.fillna(0).to_numpy(np.int64), zone)
 
 
+@F.pandas_udf(T.StringType())
+def _resolved(zone: pd.Series) -> pd.Series:
+    names = {z: resolve_zone(z) for z in zone.unique()}
+    return zone.map(names) if len(zone) else zone
+
+
 def within_day(signal: Column) -> Column:
     """Signals stamped within the day; all others at the midnight that ends it."""
     return signal.rlike("^(active_power|module_temperature|wind_speed)")
 
 
 def with_instants(df: DataFrame, park_metadata: DataFrame) -> DataFrame:
-    """Add ``instant``: struct of ``first_us`` and ``last_us`` (UTC microseconds).
+    """Add ``_zone`` and ``instant``: struct of ``first_us`` and ``last_us`` (UTC microseconds).
 
     They differ only for a wall time that occurs twice; both are null for a
     text that is null or no time.  ``df`` needs ``ts_local``,
     ``interval_start_date``, ``signal_name`` and ``park_id``.  A text without
     zone is wall time in the park's zone, of the park's last metadata line.
     """
-    zones = latest_lines(park_metadata.select("park_id", "line_no", "timezone")).select("park_id", F.col("timezone").alias("_zone"))
-    df = df.join(checked_side(zones), "park_id", "left")
+    df = df.join(checked_side(park_zones(park_metadata)), "park_id", "left")
+    zone = F.coalesce("_zone", F.lit(DEFAULT_ZONE))
     day = F.unix_date(F.col("interval_start_date"))
     lag = F.when(within_day(F.lower(F.trim("signal_name"))), 0).otherwise(1)
-    return df.withColumn("instant", _instants("ts_local", day, lag, "_zone")).drop("_zone")
+    return df.withColumns({"_zone": zone, "instant": _instants("ts_local", day, lag, zone)})
+
+
+def park_zones(park_metadata: DataFrame) -> DataFrame:
+    """park_id -> ``_zone``, the IANA zone of the park's last metadata line."""
+    lines = latest_lines(park_metadata.select("park_id", "line_no", "timezone"))
+    return lines.select("park_id", _resolved(F.coalesce("timezone", F.lit(""))).alias("_zone"))
 
 
 def corrected_instants(silver: DataFrame, park_metadata: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import instants, units_op
+from ..operators import instants, spikes, units_op
 from ..sources.tables import table
 
 
@@ -16,9 +16,13 @@ def p3_converted(spark: SparkSession, sf: str) -> DataFrame:
     return units_op.converted(table(spark, sf, "silver_prepair"))
 
 
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return spikes.implausible_keys(table(spark, sf, "silver_prepair"), table(spark, sf, "park_metadata"))
+
+
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return instants.corrected_instants(table(spark, sf, "silver_prepair"), table(spark, sf, "park_metadata"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_converted, p5_found)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_converted, p4_found, p5_found)}
 SQL: dict[str, str] = {}
