@@ -58,12 +58,12 @@ class Normal:
 
 
 KINDS = (
-    Normal("energy_import$", log=True, per_kwp=True, floor=0.26, drift=0.005, low=-15, high=4.0, least=0.0, most=24.0),
-    Normal("energy$|energy_export$", log=True, floor=0.165, drift=0.015, low=-15, high=4.2, least=0.0),
-    Normal("irradiance", log=True, floor=0.165, drift=0.015, low=-15, high=4.2, least=0.0, most=1500.0),
+    Normal("energy_import$", log=True, per_kwp=True, floor=0.26, drift=0.005, low=-15, high=3.85, least=0.0, most=24.0),
+    Normal("energy$|energy_export$", log=True, floor=0.165, drift=0.015, low=-15, high=4.1, least=0.0),
+    Normal("irradiance", log=True, floor=0.165, drift=0.015, low=-15, high=4.1, least=0.0, most=1500.0),
     Normal("^active_power$", per_kwp=True, bins=24, floor=0.02, share=0.75, drift=0.004, high=4.5, low=-8.0, least=-0.02, most=1.0),
     Normal("temperature", bins=12, floor=4.0, drift=0.25, low=-7.0, high=6.0, least=-40.0, most=110.0),
-    Normal("wind_speed", share=0.6, floor=0.5, drift=0.01, high=5.5, least=0.0, most=75.0),
+    Normal("wind_speed", share=0.6, floor=0.5, drift=0.01, high=5.3, least=0.0, most=75.0),
     Normal("^availability$", floor=1.0, least=0.0, most=1.0005, stuck=False),
     Normal("^fault_count$", floor=1.0, share=0.2, drift=0.02, high=6.0, least=0.0, stuck=False),
 )

@@ -4,25 +4,75 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import instants, spikes, units_op
+from ..operators import gridding, instants, rolling, spikes, units_op, wide
 from ..sources.tables import table
 
 
+def _silver(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "silver_prepair")
+
+
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return rolling.idle_windows(_silver(spark, sf))
+
+
+def p1_rolling(spark: SparkSession, sf: str) -> DataFrame:
+    return rolling.rolling_energy(_silver(spark, sf))
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    return gridding.missing_days(_silver(spark, sf))
+
+
+def p2_grid(spark: SparkSession, sf: str) -> DataFrame:
+    return gridding.regular_series(_silver(spark, sf))
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    return units_op.rescaled_keys(table(spark, sf, "silver_prepair"))
+    return units_op.rescaled_keys(_silver(spark, sf))
 
 
 def p3_converted(spark: SparkSession, sf: str) -> DataFrame:
-    return units_op.converted(table(spark, sf, "silver_prepair"))
+    return units_op.converted(_silver(spark, sf))
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
-    return spikes.implausible_keys(table(spark, sf, "silver_prepair"), table(spark, sf, "park_metadata"))
+    return spikes.implausible_keys(_silver(spark, sf), table(spark, sf, "park_metadata"))
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    return instants.corrected_instants(table(spark, sf, "silver_prepair"), table(spark, sf, "park_metadata"))
+    return instants.corrected_instants(_silver(spark, sf), table(spark, sf, "park_metadata"))
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    return wide.contradictions(_silver(spark, sf))
+
+
+def p6_wide(spark: SparkSession, sf: str) -> DataFrame:
+    return wide.wide_days(_silver(spark, sf))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_rolling, p2_found, p2_grid, p3_found, p3_converted, p4_found, p5_found, p6_found, p6_wide)}
 
+# The plain name of a signal: without unit text in brackets or after underscores.
+_PLAIN = r"""regexp_replace(regexp_replace(regexp_replace(lower(trim(signal_name)), '\s*[\(\[].*$', ''),
+ '_{1,2}(kwh|wh|mwh|gwh|mj|gj|kw_m_2|w_m_2|mw_cm2|mw_cm_2|watt|kw|mw|w|m_s_1|km_h|knots|knot|kn|mph|celsius|degc|c|kelvin|k|fahrenheit|degf|f|fraction|percent|permille|pct)$', ''),
+ '[^a-z0-9]+', '_', 'g')"""
+_READING = f"""SELECT park_id, {_PLAIN} AS signal_name, interval_start_date AS d, value FROM silver_prepair
+ WHERE park_id IS NOT NULL AND signal_name IS NOT NULL AND interval_start_date IS NOT NULL AND value IS NOT NULL AND isfinite(value)"""
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_converted, p4_found, p5_found)}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "p1_found": f"""
+WITH r AS ({_READING}), e AS (SELECT * FROM r WHERE signal_name = 'pcc_active_energy_export'),
+p AS (SELECT park_id, min(d) AS a, max(d) AS z FROM e GROUP BY 1),
+days AS (SELECT park_id, a, unnest(generate_series(a, z, INTERVAL 1 DAY))::DATE AS d FROM p),
+n AS (SELECT park_id, d, count(*) FILTER (value <> 0) AS n FROM e GROUP BY 1, 2),
+f AS (SELECT days.park_id, a, days.d, coalesce(n, 0) AS n FROM days LEFT JOIN n USING (park_id, d)),
+w AS (SELECT park_id, a, d, sum(n) OVER (PARTITION BY park_id ORDER BY d ROWS 6 PRECEDING) AS s7, sum(n) OVER (PARTITION BY park_id ORDER BY d ROWS 29 PRECEDING) AS s30 FROM f)
+SELECT park_id, strftime(d, '%Y-%m-%d') AS interval_day, 7::INT AS period_days FROM w WHERE s7 = 0 AND d - a >= 6
+UNION ALL SELECT park_id, strftime(d, '%Y-%m-%d'), 30::INT FROM w WHERE s30 = 0 AND d - a >= 29""",
+    "p2_found": f"""
+WITH r AS ({_READING}), p AS (SELECT park_id, signal_name, min(d) AS a, max(d) AS z FROM r GROUP BY 1, 2),
+days AS (SELECT park_id, signal_name, unnest(generate_series(a, z, INTERVAL 1 DAY))::DATE AS d FROM p)
+SELECT park_id, signal_name, strftime(d, '%Y-%m-%d') AS interval_day FROM days ANTI JOIN r USING (park_id, signal_name, d)""",
+}
