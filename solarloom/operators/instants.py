@@ -32,21 +32,26 @@ def _resolved(zone: pd.Series) -> pd.Series:
 
 def within_day(signal: Column) -> Column:
     """Signals stamped within the day; all others at the midnight that ends it."""
-    return signal.rlike("^(active_power|module_temperature|wind_speed)")
+    return signal.rlike("^(active.power|module.temperature|wind.speed)")
 
 
-def with_instants(df: DataFrame, park_metadata: DataFrame) -> DataFrame:
+def lag_of(signal: Column) -> Column:
+    return F.when(within_day(signal), F.lit(0)).otherwise(F.lit(1))
+
+
+def with_instants(df: DataFrame, park_metadata: DataFrame, lag: str | None = None) -> DataFrame:
     """Add ``_zone`` and ``instant``: struct of ``first_us`` and ``last_us`` (UTC microseconds).
 
     They differ only for a wall time that occurs twice; both are null for a
     text that is null or no time.  ``df`` needs ``ts_local``,
-    ``interval_start_date``, ``signal_name`` and ``park_id``.  A text without
+    ``interval_start_date``, ``park_id`` and ``lag``, a column that is 0 for
+    signals stamped within the day and else 1, or ``signal_name``.  A text without
     zone is wall time in the park's zone, of the park's last metadata line.
     """
     df = df.join(checked_side(park_zones(park_metadata)), "park_id", "left")
     zone = F.coalesce("_zone", F.lit(DEFAULT_ZONE))
     day = F.unix_date(F.col("interval_start_date"))
-    lag = F.when(within_day(F.lower(F.trim("signal_name"))), 0).otherwise(1)
+    lag = F.col(lag) if lag else lag_of(F.lower(F.trim("signal_name")))
     return df.withColumns({"_zone": zone, "instant": _instants("ts_local", day, lag, zone)})
 
 

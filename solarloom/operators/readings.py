@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.units import conversion_table, split_signal, target_of, unit_key
-from .sizing import checked_side
+from .sizing import BROADCAST_ROWS, checked_side, checkpointed
 
 SOURCE = ["park_id", "signal"]
 DELIVERY = ["park_id", "signal", "run_id", "_month"]
@@ -59,71 +59,95 @@ FAR, NEAR = 1.5, 0.85
 SENTINELS = (9999.0, 99999.0, 999999.0, 9999999.0, 999.0)
 
 
-def with_signals(df: DataFrame) -> DataFrame:
-    """Add plain ``signal``, ``_unit`` (unit text used), ``_target``, ``is_reading``."""
+def described(names: DataFrame) -> DataFrame:
+    """Names and units with ``signal``, ``_a`` and ``_b`` (label conversion to
+    the common unit) and ``_rule`` (number of the scale rule, or null)."""
     signal, inside = split_signal(F.col("signal_name"))
     own = F.coalesce(unit_key(F.col("unit")), F.lit(""))
-    df = df.withColumns({"signal": signal, "_inside": inside, "_own": own})
-    df = df.withColumns({"_target": target_of(F.col("signal"))})
-    finite = F.col("value").isNotNull() & ~F.isnan("value") & (F.abs("value") != F.lit(float("inf")))
-    reading = F.col("park_id").isNotNull() & F.col("signal").isNotNull() & F.col("interval_start_date").isNotNull() & finite
-    return df.withColumn("is_reading", reading)
-
-
-def by_label(df: DataFrame) -> DataFrame:
-    """Add ``_labelled``: the value in the common unit as the unit texts say."""
+    df = names.withColumns({"signal": signal, "_inside": inside, "_own": own}).withColumn("_target", target_of(F.col("signal")))
     conv = conversion_table(df.sparkSession)  # fixed, some hundred rows
     side = lambda p: F.broadcast(conv.select(F.col("unit_key").alias(f"_{p}"), F.col("target").alias("_target"), F.col("factor").alias(f"_{p}_a"), F.col("shift").alias(f"_{p}_b")))
     df = df.join(side("inside"), ["_inside", "_target"], "left").join(side("own"), ["_own", "_target"], "left")
     a = F.coalesce("_inside_a", "_own_a", F.lit(1.0))
     b = F.when(F.col("_inside_a").isNotNull(), F.col("_inside_b")).otherwise(F.coalesce("_own_b", F.lit(0.0)))
-    out = F.when((a == 1.0) & (b == 0.0), F.col("value")).otherwise(F.col("value") * a + b)
-    return df.withColumn("_labelled", out).drop("_inside", "_own", "_inside_a", "_own_a", "_inside_b", "_own_b")
+    df = df.withColumns({"_a": a, "_b": b})
+    return df.drop("_inside", "_own", "_target", "_inside_a", "_own_a", "_inside_b", "_own_b")
+
+
+def with_signals(df: DataFrame, **more: Column) -> DataFrame:
+    """Add plain ``signal``, ``_a``, ``_b``, the columns of ``more`` (expressions
+    over ``signal``) and ``is_reading``.
+
+    Names and units repeat without end, so each distinct pair is parsed once
+    and rows look it up.  The lookup is broadcast only if it was counted and is
+    small; else every row is parsed in place, without any join.
+    """
+    names = checkpointed(described(df.select("signal_name", "unit").distinct()).withColumns(more))
+    if names.count() <= BROADCAST_ROWS:
+        same = F.col("r.signal_name").eqNullSafe(F.col("n.signal_name")) & F.col("r.unit").eqNullSafe(F.col("n.unit"))
+        df = df.alias("r").join(F.broadcast(names.alias("n")), same, "left").select("r.*", *[F.col(f"n.{c}") for c in names.columns if c not in ("signal_name", "unit")])
+    else:
+        df = described(df).withColumns(more)
+    finite = F.col("value").isNotNull() & ~F.isnan("value") & (F.abs("value") != F.lit(float("inf")))
+    reading = F.col("park_id").isNotNull() & F.col("signal").isNotNull() & F.col("interval_start_date").isNotNull() & finite
+    return df.withColumn("is_reading", reading)
+
+
+def labelled() -> Column:
+    """The value in the common unit as the unit texts say."""
+    plain = (F.col("_a") == 1.0) & (F.col("_b") == 0.0)
+    return F.when(plain, F.col("value")).otherwise(F.col("value") * F.col("_a") + F.col("_b"))
 
 
-def _pick(rules, of, default: Column) -> Column:
-    out = default
-    for rule in reversed(rules):
-        out = F.when(F.col("signal").rlike(rule.pattern), of(rule)).otherwise(out)
+def rule_number(rules: tuple[ScaleRule, ...] = SCALE_RULES) -> Column:
+    out = F.lit(None).cast("int")
+    for k in reversed(range(len(rules))):
+        out = F.when(F.col("signal").rlike(rules[k].pattern), F.lit(k)).otherwise(out)
     return out
 
 
 def scale_exceptions(df: DataFrame, rules: tuple[ScaleRule, ...] = SCALE_RULES) -> DataFrame:
     """(source, delivery, month) -> ``_scale``: only groups on another scale.
 
-    ``df`` is the result of ``by_label``.  One pass with map-side partial
+    ``df`` has ``_rule`` and ``_labelled``.  One pass with map-side partial
     aggregation; no group is gathered anywhere.
     """
-    pattern = "|".join(r.pattern for r in rules)
-    rows = df.filter(F.col("is_reading") & F.col("signal").rlike(pattern) & (F.col("value") != 0))
-    size = F.abs("_labelled")
-    use = F.when((F.col("_labelled") > 0) & ~F.col("value").isin(*SENTINELS), size)
-    use = F.when(F.col("signal").rlike("power"), F.when(~F.abs("value").isin(*SENTINELS), size)).otherwise(use)
-    kwp = F.coalesce(F.max(F.when(F.col("park_capacity_kwp") > 0, F.col("park_capacity_kwp"))), F.try_to_number(F.nullif(F.regexp_extract("park_id", r"_(\d{1,9})_kwp", 1), F.lit("")), F.lit("999999999")).cast("double"))
-    groups = rows.groupBy(*DELIVERY).agg(F.count(use).alias("_n"), F.percentile_approx(use, F.array(F.lit(0.5), F.lit(0.8)), F.lit(200)).alias("_q"), kwp.alias("_kwp"))
-    level = _pick(rules, lambda r: F.get("_q", F.lit(0 if r.quantile == 0.5 else 1)), F.lit(None).cast("double"))
-    prior = _pick(rules, lambda r: F.lit(r.level) * F.col("_kwp") if r.per_kwp else F.lit(r.level), F.lit(None).cast("double"))
+    of = lambda f: F.get(F.array(*[F.lit(f(r)) for r in rules]), F.col("_rule"))
+    rows = df.filter(F.col("is_reading") & F.col("_rule").isNotNull() & (F.col("value") != 0))
+    # Negative readings say something only where they are ordinary (power at night).
+    counts = ~F.abs("value").isin(*SENTINELS) & ((F.col("_labelled") > 0) | of(lambda r: r.quantile != 0.5))
+    use = F.when(counts, F.abs("_labelled"))
+    kwp = F.coalesce(F.max(F.when(F.col("park_capacity_kwp") > 0, F.col("park_capacity_kwp"))), capacity_in_name())
+    quantiles = sorted({r.quantile for r in rules})
+    groups = rows.groupBy(*DELIVERY, "_rule").agg(F.count(use).alias("_n"), F.percentile_approx(use, F.array(*map(F.lit, quantiles)), F.lit(200)).alias("_q"), kwp.alias("_kwp"))
+    level = F.get("_q", of(lambda r: quantiles.index(r.quantile)))
+    prior = of(lambda r: float(r.level)) * F.when(of(lambda r: r.per_kwp), F.col("_kwp")).otherwise(F.lit(1.0))
     groups = groups.withColumn("_off", F.when((level > 0) & (prior > 0), F.log10(level) - F.log10(prior)))
+    powers = of_powers(rules)
+    near = F.filter(powers, lambda e: (F.abs(F.col("_off") - e) <= NEAR) & ((e > 0) | (F.col("_n") >= of(lambda r: r.least))))
+    groups = groups.filter(F.abs("_off") > FAR).withColumn("_power", F.get(near, F.lit(0)))
+    return groups.filter(F.col("_power").isNotNull()).select(*DELIVERY, F.pow(F.lit(10.0), -F.col("_power")).alias("_scale"))
 
-    def power(rule: ScaleRule) -> Column:
-        out = F.lit(None).cast("int")
-        for e in rule.powers:
-            near = F.abs(F.col("_off") - e) <= NEAR
-            if e < 0:
-                near &= F.col("_n") >= rule.least
-            out = F.when(near, F.lit(e)).otherwise(out)
-        return out
 
-    groups = groups.filter(F.abs("_off") > FAR).withColumn("_power", _pick(rules, power, F.lit(None).cast("int")))
-    return groups.filter(F.col("_power").isNotNull()).select(*DELIVERY, F.pow(F.lit(10.0), -F.col("_power")).alias("_scale"))
+def of_powers(rules: tuple[ScaleRule, ...]) -> Column:
+    return F.get(F.array(*[F.array(*map(F.lit, r.powers)) for r in rules]), F.col("_rule"))
+
+
+def capacity_in_name() -> Column:
+    """Capacity that a park's name tells, or null."""
+    return F.nullif(F.regexp_extract("park_id", r"_(\d{1,9})_kwp", 1), F.lit("")).cast("double")
 
 
-def in_common_units(silver: DataFrame, columns: list[str], rules: tuple[ScaleRule, ...] = SCALE_RULES) -> DataFrame:
+def in_common_units(silver: DataFrame, columns: list[str], rules: tuple[ScaleRule, ...] = SCALE_RULES, keep: Column | None = None, **more: Column) -> DataFrame:
     """``silver`` with plain ``signal``, ``common`` (value in the common unit,
-    null where the row is no reading) and ``is_reading``, and the asked columns."""
+    null where the row is no reading), ``is_reading``, the asked columns and
+    those of ``more`` (expressions over ``signal``).  ``keep`` drops rows first."""
     need = ["park_id", "signal_name", "unit", "value", "interval_start_date", "run_id", "park_capacity_kwp"]
-    base = by_label(with_signals(silver.select(*dict.fromkeys([*need, *columns])))).withColumn("_month", F.trunc("interval_start_date", "month"))
+    base = with_signals(silver.select(*dict.fromkeys([*need, *columns])), _rule=rule_number(rules), **more)
+    if keep is not None:
+        base = base.filter(keep)
+    base = base.withColumns({"_month": F.trunc("interval_start_date", "month"), "_labelled": labelled()})
     odd = checked_side(scale_exceptions(base, rules))
     joined = base.join(odd, DELIVERY, "left")
     common = F.when(F.col("is_reading"), F.col("_labelled") * F.coalesce("_scale", F.lit(1.0)))
-    return joined.withColumn("common", common).select(*dict.fromkeys([*columns, "signal", "common", "is_reading"]))
+    return joined.withColumn("common", common).select(*dict.fromkeys([*columns, "signal", "common", "is_reading", *more]))

@@ -70,7 +70,7 @@ def rolled(cells: DataFrame, keys: list[str], periods: tuple[int, ...] = PERIODS
 def energy_cells(silver: DataFrame, signal: str) -> DataFrame:
     """One cell per park and day: the value of the latest run in the common
     unit (ties: the greatest key), where a day was delivered more than once."""
-    rows = in_common_units(silver, ["ingest_key", "park_id", "interval_start_date", "run_id"]).filter(F.col("is_reading") & (F.col("signal") == signal))
+    rows = in_common_units(silver, ["ingest_key", "park_id", "interval_start_date", "run_id"], keep=F.col("is_reading") & (F.col("signal") == signal))
     version = F.struct("run_id", "ingest_key", "common")
     return rows.groupBy("park_id", day_number("interval_start_date").alias("day")).agg(F.max_by("common", version).alias("v"))
 

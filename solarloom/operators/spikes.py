@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.kalman import both_ways, stuck
-from .instants import with_instants
-from .readings import in_common_units
+from .instants import lag_of, with_instants
+from .readings import capacity_in_name, in_common_units
 from .sizing import bucket_count, checked_side
 
 #: Readings per bucket, readings of one source per tile, and days of tile and halo.
@@ -128,18 +128,22 @@ def judge_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"ingest_key": pdf["key"].to_numpy()[flagged & pdf["core"].to_numpy(bool)]})
 
 
-def tiled(rows: DataFrame) -> DataFrame:
+def dense_sources(rows: DataFrame) -> DataFrame:
+    """source -> ``_len``: tile length (s) of the sources with so many readings
+    that a tile of ``TILE_DAYS`` would hold more than ``TILE_ROWS``."""
+    day = F.unix_date("interval_start_date")
+    dense = rows.groupBy(F.xxhash64("park_id", "signal").alias("source")).agg(F.count("*").alias("_n"), ((F.max(day) - F.min(day) + 1) * 86400.0).alias("_span"))
+    dense = dense.filter((F.col("_n") > TILE_ROWS) & (F.col("_n") * (TILE_DAYS * 86400.0) > F.col("_span") * float(TILE_ROWS)))
+    return dense.select("source", F.greatest(F.lit(3600), (F.col("_span") * TILE_ROWS / F.col("_n"))).cast("long").alias("_len"))
+
+
+def tiled(rows: DataFrame, dense: DataFrame) -> DataFrame:
     """Rows of ``source`` and ``t`` (seconds) with ``tile`` and ``core``; each
     row is the core of one tile and, near an edge, the halo of its neighbour.
-
-    A tile spans ``TILE_DAYS``, or less for sources with so many readings that
-    such a tile would hold more than ``TILE_ROWS``.
-    """
-    dense = rows.groupBy("source").agg(F.count("*").alias("_n"), (F.max("t") - F.min("t")).alias("_span"))
-    dense = dense.filter((F.col("_n") > TILE_ROWS) & (F.col("_n") * (TILE_DAYS * 86400.0) > F.col("_span") * float(TILE_ROWS)))
-    dense = checked_side(dense.select("source", F.greatest(F.lit(3600), (F.col("_span") * TILE_ROWS / F.col("_n"))).cast("long").alias("_len")))
+    A tile spans ``TILE_DAYS``, for sources in ``dense`` their ``_len``."""
+    rows = rows.join(dense, "source", "left")
     length = F.coalesce("_len", F.lit(TILE_DAYS * 86400))
-    rows = rows.join(dense, "source", "left").withColumn("_len", length)
+    rows = rows.withColumn("_len", length)
     halo = F.least(F.lit(HALO_DAYS * 86400), F.floor(F.col("_len") / 4))
     at = lambda c: F.floor(c / F.col("_len"))
     t = F.col("t")
@@ -153,11 +157,13 @@ def implausible_keys(silver: DataFrame, park_metadata: DataFrame) -> DataFrame:
     Rows that are no readings, signals of no kind above, and null keys give no
     row; a text that is no time counts as the end of its day.
     """
-    common = in_common_units(silver, ["ingest_key", "park_id", "signal_name", "interval_start_date", "ts_local", "park_capacity_kwp"])
-    rows = common.withColumn("kind", kind_of(F.col("signal"))).filter(F.col("is_reading") & F.col("kind").isNotNull() & F.col("ingest_key").isNotNull())
-    rows = with_instants(rows, park_metadata)
+    judged = F.col("is_reading") & F.col("kind").isNotNull() & F.col("ingest_key").isNotNull()
+    columns = ["ingest_key", "park_id", "interval_start_date", "ts_local", "park_capacity_kwp"]
+    rows = in_common_units(silver, columns, keep=judged, kind=kind_of(F.col("signal")), lag=lag_of(F.col("signal")))
+    dense = checked_side(dense_sources(rows))
+    rows = with_instants(rows, park_metadata, "lag")
     us = F.coalesce("instant.first_us", (F.unix_date("interval_start_date") + 1) * F.lit(86_400_000_000))
-    kwp = F.coalesce(F.when(F.col("park_capacity_kwp") > 0, F.col("park_capacity_kwp")), F.nullif(F.regexp_extract("park_id", r"_(\d{1,9})_kwp", 1), F.lit("")).cast("double"), F.lit(0.0))
+    kwp = F.coalesce(F.when(F.col("park_capacity_kwp") > 0, F.col("park_capacity_kwp")), capacity_in_name(), F.lit(0.0))
     rows = rows.select(
         F.xxhash64("park_id", "signal").alias("source"),
         F.floor(us / F.lit(1_000_000)).cast("long").alias("t"),
@@ -168,6 +174,6 @@ def implausible_keys(silver: DataFrame, park_metadata: DataFrame) -> DataFrame:
         F.col("ingest_key").alias("key"),
     )
     n = bucket_count(silver.count(), ROWS)
-    rows = tiled(rows)
+    rows = tiled(rows, dense)
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("source", "tile"), F.lit(n)).cast("int"))
     return rows.groupBy("bucket").applyInPandas(lambda pdf: judge_bucket(pdf), "ingest_key string").distinct()

@@ -27,8 +27,8 @@ INTEGRAL = ("fault_count", "breaker_state")
 
 
 def daily_readings(silver: DataFrame) -> DataFrame:
-    rows = in_common_units(silver, ["ingest_key", "park_id", "interval_start_date", "run_id"])
-    return rows.filter(F.col("is_reading") & F.col("signal").rlike(DAILY))
+    columns = ["ingest_key", "park_id", "interval_start_date", "run_id"]
+    return in_common_units(silver, columns, keep=F.col("is_reading") & F.col("_daily"), _daily=F.col("signal").rlike(DAILY)).drop("_daily")
 
 
 def delta(batch: DataFrame) -> DataFrame:
