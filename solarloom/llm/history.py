@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.instants import with_instants
+from ..operators.instants import lag_of, with_instants
 from ..operators.readings import in_common_units
 from ..operators.sizing import bucket_count
 
@@ -34,8 +34,8 @@ TEXT = ["w1", "w2", "w3", "value"]
 
 def texts(silver: DataFrame, park_metadata: DataFrame) -> DataFrame:
     """``ingest_key, run_id, w1, w2, w3, value``: one row per row and text."""
-    rows = in_common_units(silver, ["ingest_key", "run_id", "park_id", "signal_name", "interval_start_date", "ts_local"])
-    rows = with_instants(rows.filter(F.col("run_id").isNotNull()), park_metadata)
+    rows = in_common_units(silver, ["ingest_key", "run_id", "park_id", "interval_start_date", "ts_local"], keep=F.col("run_id").isNotNull(), lag=lag_of(F.col("signal")))
+    rows = with_instants(rows, park_metadata, "lag")
     second = F.floor(F.col("instant.first_us") / F.lit(1_000_000)).cast("long")
     none = F.lit(None).cast("long")
     key = F.when(F.col("ingest_key").isNotNull(), F.struct(F.xxhash64("ingest_key").alias("w1"), F.xxhash64("ingest_key", F.lit(1)).alias("w2"), none.alias("w3"), F.lit(0.0).alias("value")))
