@@ -5,12 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import history
+from . import encoding, history, mixing, reading
 
 
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return history.repeats(table(spark, sf, "silver_prepair"), table(spark, sf, "park_metadata"))
 
 
-QUERIES = {f.__name__: f for f in (p7_found,)}
+def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return encoding.encoded(table(spark, sf, "documents"), ["doc_id"])
+
+
+def p9_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.shares(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))
+
+
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return reading.demanding(table(spark, sf, "documents"), table(spark, sf, "reading_grades"))
+
+
+def p10_levels(spark: SparkSession, sf: str) -> DataFrame:
+    return reading.reading_levels(table(spark, sf, "documents"), table(spark, sf, "reading_grades"))
+
+
+QUERIES = {f.__name__: f for f in (p7_found, p8_ids, p9_mix, p9_shares, p10_found, p10_levels)}
 SQL: dict[str, str] = {}
