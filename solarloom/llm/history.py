@@ -32,15 +32,27 @@ DEPTH, ROWS, BATCH = 3, 60_000, 8_192
 TEXT = ["w1", "w2", "w3", "value"]
 
 
+def packed_key(key: Column) -> Column:
+    """The key as bytes; hexadecimal keys take half the room in the shuffle."""
+    raw = F.unhex(key)
+    return F.when(F.lower(F.hex(raw)) == key, F.concat(F.lit(b"\x01"), raw)).otherwise(F.concat(F.lit(b"\x00"), F.encode(key, "UTF-8")))
+
+
+def plain_key(packed: Column) -> Column:
+    body = F.substring(packed, 2, 2_000_000_000)
+    return F.when(F.substring(packed, 1, 1) == F.lit(b"\x01"), F.lower(F.hex(body))).otherwise(F.decode(body, "UTF-8"))
+
+
 def texts(silver: DataFrame, park_metadata: DataFrame) -> DataFrame:
-    """``ingest_key, run_id, w1, w2, w3, value``: one row per row and text."""
+    """``key (packed), run_id, w1, w2, w3, value``: one row per row and text."""
     rows = in_common_units(silver, ["ingest_key", "run_id", "park_id", "interval_start_date", "ts_local"], keep=F.col("run_id").isNotNull(), lag=lag_of(F.col("signal")))
     rows = with_instants(rows, park_metadata, "lag")
     second = F.floor(F.col("instant.first_us") / F.lit(1_000_000)).cast("long")
     none = F.lit(None).cast("long")
     key = F.when(F.col("ingest_key").isNotNull(), F.struct(F.xxhash64("ingest_key").alias("w1"), F.xxhash64("ingest_key", F.lit(1)).alias("w2"), none.alias("w3"), F.lit(0.0).alias("value")))
     reading = F.when(F.col("is_reading") & second.isNotNull(), F.struct(F.xxhash64("park_id").alias("w1"), F.xxhash64("signal").alias("w2"), second.alias("w3"), F.col("common").alias("value")))
-    return rows.select("ingest_key", "run_id", F.explode(F.array_compact(F.array(key, reading))).alias("t")).select("ingest_key", "run_id", "t.*")
+    rows = rows.select(packed_key(F.col("ingest_key")).alias("key"), "run_id", F.explode(F.array_compact(F.array(key, reading))).alias("t"))
+    return rows.select("key", "run_id", "t.*")
 
 
 def value_cell(v: Column) -> Column:
@@ -86,4 +98,5 @@ def repeats(silver: DataFrame, park_metadata: DataFrame) -> DataFrame:
     found = repeated_texts(rows, bucket_count(2 * silver.count(), ROWS))
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) if c == "w3" else F.col(f"a.{c}") == F.col(f"b.{c}") for c in TEXT]
     hit = rows.alias("a").join(found.alias("b"), same + [F.col("a.run_id") > F.col("b.since")], "left_semi")
-    return hit.filter(F.col("ingest_key").isNotNull()).select("ingest_key", "run_id").distinct()
+    hit = hit.filter(F.col("key").isNotNull()).select("key", "run_id").distinct()
+    return hit.select(plain_key(F.col("key")).alias("ingest_key"), "run_id")
