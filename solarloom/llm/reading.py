@@ -14,12 +14,13 @@ Only prose counts: runs of at least four words within a sentence, after markup,
 invisible characters and compatibility forms are taken away.  A document
 without prose has no level and is no row of the result; so have null, empty and
 blank texts.  Without any usable grade the result has no rows.  Rows with null
-``doc_id`` are left out; rows of one ``doc_id`` count as one document.
+``doc_id`` are left out; rows of one ``doc_id`` are one document, whose words add up.
 """
 
 from __future__ import annotations
 
 import html
+import math
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -60,7 +61,8 @@ def prose_words(text: str | None, patterns=None) -> Counter:
 
 
 def word_counts(documents: DataFrame) -> DataFrame:
-    """``doc_id, words array<struct<word, n>>`` of the documents with prose."""
+    """``doc_id, words array<struct<word, c>>`` of the documents with prose; the
+    weight of a word is the logarithm of one plus its count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         patterns = _patterns()
@@ -72,12 +74,12 @@ def word_counts(documents: DataFrame) -> DataFrame:
                     counts = prose_words(t, patterns)
                     if counts:
                         keys.append(k)
-                        words.append([{"word": w, "n": n} for w, n in counts.items()])
-                kind = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int32())]))
+                        words.append([{"word": w, "c": math.log1p(n)} for w, n in counts.items()])
+                kind = pa.list_(pa.struct([("word", pa.string()), ("c", pa.float64())]))
                 yield pa.RecordBatch.from_arrays([pa.array(keys, part.column(0).type), pa.array(words, kind)], ["doc_id", "words"])
 
     rows = documents.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
-    return rows.mapInArrow(run, f"doc_id {rows.dtypes[0][1]}, words array<struct<word:string,n:int>>")
+    return rows.mapInArrow(run, f"doc_id {rows.dtypes[0][1]}, words array<struct<word:string,c:double>>")
 
 
 def difficulties(pairs: DataFrame, centre: float) -> DataFrame:
@@ -93,7 +95,7 @@ def difficulties(pairs: DataFrame, centre: float) -> DataFrame:
 def levels_of(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """``doc_id, raw``: precision-weighted mean difficulty of its known words."""
     q = F.col("c") * F.col("precision")
-    joined = pairs.join(checked_side(words), "word")
+    joined = pairs.join(checked_side(words), "word")  # a document's words lie together: its sums are made before the shuffle
     return joined.groupBy("doc_id").agg((F.sum(q * F.col("b")) / F.sum(q)).alias("raw"))
 
 
@@ -102,22 +104,23 @@ def reading_levels(documents: DataFrame, grades: DataFrame, rounds: int = ROUNDS
     of the grades (1 to 5), from its words alone."""
     anchors = grades.filter("doc_id is not null and grade_level between 1 and 5").groupBy("doc_id")
     anchors = checkpointed(anchors.agg(F.percentile("grade_level", F.lit(0.5)).alias("grade")))
-    counts = checkpointed(word_counts(documents).select("doc_id", F.explode("words").alias("w")).groupBy("doc_id", "w.word").agg(F.sum("w.n").alias("n")).select("doc_id", "word", F.log1p("n").alias("c")))
+    counts = checkpointed(word_counts(documents))
+    pairs = lambda df, *more: df.select(*more, F.explode("words").alias("w")).select(*more, "w.word", "w.c")
     centre = anchors.agg(F.avg("grade").alias("m")).first()["m"]
     if centre is None:
         return counts.select("doc_id", F.lit(None).cast("double").alias("level")).limit(0)
-    known = F.broadcast(anchors) if anchors.count() <= 100_000 else anchors
-    seen = counts.join(known, "doc_id").select("word", "c", F.col("grade").alias("t"))
+    known = checked_side(anchors)
+    seen = pairs(counts.join(known, "doc_id").withColumn("t", F.col("grade")), "t")
     levels = None
     for k in range(rounds):
-        raw = checkpointed(levels_of(counts, difficulties(seen, centre)))
+        raw = checkpointed(levels_of(pairs(counts, "doc_id"), difficulties(seen, centre)))
         # The latent scale is fixed by the anchors: least squares of grade on raw level.
         fit = raw.join(known, "doc_id").agg(F.regr_slope("grade", "raw").alias("a"), F.regr_intercept("grade", "raw").alias("b")).first()
         a, b = (fit["a"], fit["b"]) if fit["a"] else (1.0, 0.0)
         levels = raw.select("doc_id", (F.col("raw") * a + b).alias("level"))
         if k + 1 < rounds:
             held = levels.join(known, "doc_id", "left").select("doc_id", F.coalesce("grade", F.greatest(F.lit(0.5), F.least(F.lit(5.5), F.col("level")))).alias("t"))
-            seen = counts.join(held, "doc_id").select("word", "c", "t")
+            seen = pairs(counts.join(checked_side(held), "doc_id"), "t")
     return levels
 
 
