@@ -90,13 +90,13 @@ def sanitized(header: str, parks: dict[str, float] | None = None) -> str:
     return "__".join(p for p in parts if p)
 
 
-def sanitized_all(headers: list[str], parks: dict[str, float] | None = None) -> dict[str, str]:
-    """Header -> name; names that meet again get ``_1``, ``_2`` and so on."""
+def sanitized_all(headers: list[str], parks: dict[str, float] | None = None) -> list[str]:
+    """Names of the headers; names that meet again get ``_1``, ``_2`` and so on."""
     seen: dict[str, int] = {}
-    out = {}
+    out = []
     for h in headers:
         name = sanitized(h, parks)
         n = seen.get(name, 0)
         seen[name] = n + 1
-        out[h] = f"{name}_{n}" if n else name
+        out.append(f"{name}_{n}" if n else name)
     return out

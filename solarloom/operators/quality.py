@@ -26,9 +26,10 @@ def flagged(df: DataFrame, rules: DataFrame, required: list[str], mark_all: bool
     if mark_all:
         duplicate = F.count("*").over(copies) > 1
     else:
-        duplicate = F.row_number().over(copies.orderBy("run_id", "source_file_hash", F.hash(*df.columns))) > 1
-    rows = rows.withColumns({"flag_missing_required": missing, "flag_invalid_value": F.col("_v").isNull(), "flag_invalid_unit_range": outside, "flag_duplicate": duplicate})
-    return rows.drop("_unit", "_lo", "_hi", "_v")
+        duplicate = F.row_number().over(copies.orderBy("run_id", "source_file_hash", F.xxhash64(*[c for c in df.columns if c not in FLAGS]))) > 1
+    rows = rows.withColumn("_duplicate", duplicate)
+    rows = rows.withColumns({"flag_missing_required": missing, "flag_invalid_value": F.col("_v").isNull(), "flag_invalid_unit_range": outside, "flag_duplicate": F.col("_duplicate")})
+    return rows.drop("_unit", "_lo", "_hi", "_v", "_duplicate")
 
 
 def any_flag() -> Column:
