@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ..operators.sizing import checked_side, checkpointed
 
 #: Alternations, weight of the prior on a word (documents), least variance of a word.
-ROUNDS, PRIOR, LEAST_VARIANCE = 2, 1.0, 0.05
+ROUNDS, PRIOR, LEAST_VARIANCE = 3, 0.3, 0.05
 #: Half steps of the level scale; demanding are levels 4 and 5.
 DEMANDING = 3.5
 #: Longer words are no words of prose.
@@ -56,7 +56,7 @@ def prose_words(text: str | None, patterns=None) -> Counter:
     if not text:
         return Counter()
     hidden, tag, sentence, word, run = patterns or _patterns()
-    text = html.unescape(tag.sub(" ", hidden.sub("", unicodedata.normalize("NFKC", text))))
+    text = unicodedata.normalize("NFKC", html.unescape(tag.sub(" ", hidden.sub("", text))))
     return Counter(w.lower() for s in sentence.split(text) if run.search(s) for w in word.findall(s) if len(w) <= LONGEST)
 
 
