@@ -19,12 +19,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.instants import lag_of, with_instants
 from ..operators.readings import in_common_units
-from ..operators.sizing import bucket_count
+from ..operators.sizing import bucket_count, checkpointed
 
 TOLERANCE = 0.001
 #: Words of a match, records per bucket, records per batch of the index.
@@ -43,7 +43,7 @@ def plain_key(packed: Column) -> Column:
     return F.when(F.substring(packed, 1, 1) == F.lit(b"\x01"), F.lower(F.hex(body))).otherwise(F.decode(body, "UTF-8"))
 
 
-def texts(silver: DataFrame, park_metadata: DataFrame) -> DataFrame:
+def texts(silver: DataFrame, park_metadata: DataFrame, **more: Column) -> DataFrame:
     """``key (packed), run_id, w1, w2, w3, value``: one row per row and text."""
     rows = in_common_units(silver, ["ingest_key", "run_id", "park_id", "interval_start_date", "ts_local"], keep=F.col("run_id").isNotNull(), lag=lag_of(F.col("signal")))
     rows = with_instants(rows, park_metadata, "lag")
@@ -51,8 +51,8 @@ def texts(silver: DataFrame, park_metadata: DataFrame) -> DataFrame:
     none = F.lit(None).cast("long")
     key = F.when(F.col("ingest_key").isNotNull(), F.struct(F.xxhash64("ingest_key").alias("w1"), F.xxhash64("ingest_key", F.lit(1)).alias("w2"), none.alias("w3"), F.lit(0.0).alias("value")))
     reading = F.when(F.col("is_reading") & second.isNotNull(), F.struct(F.xxhash64("park_id").alias("w1"), F.xxhash64("signal").alias("w2"), second.alias("w3"), F.col("common").alias("value")))
-    rows = rows.select(packed_key(F.col("ingest_key")).alias("key"), "run_id", F.explode(F.array_compact(F.array(key, reading))).alias("t"))
-    return rows.select("key", "run_id", "t.*")
+    rows = rows.select(packed_key(F.col("ingest_key")).alias("key"), "run_id", *[c.alias(k) for k, c in more.items()], F.explode(F.array_compact(F.array(key, reading))).alias("t"))
+    return rows.select("key", "run_id", *more, "t.*")
 
 
 def value_cell(v: Column) -> Column:
@@ -81,9 +81,13 @@ def first_seen_of(words, offsets, value, order) -> np.ndarray:
     return first_seen(words, offsets, value, order, DEPTH, TOLERANCE, 1.0, BATCH)
 
 
-def repeated_texts(rows: DataFrame, n: int) -> DataFrame:
+def records_of(rows: DataFrame, *more: str) -> DataFrame:
+    """One record per text and value, with its first and last run."""
+    return rows.groupBy(*TEXT, *more).agg(F.min("run_id").alias("first_run"), F.max("run_id").alias("last_run"))
+
+
+def repeated_texts(records: DataFrame, n: int) -> DataFrame:
     """Texts with the first run they repeat (``since``), only where some run is later."""
-    records = rows.groupBy(*TEXT).agg(F.min("run_id").alias("first_run"), F.max("run_id").alias("last_run"))
     v = F.col("value")
     cells = F.array_distinct(F.array(value_cell(v), value_cell(v * 1.0011), value_cell(v * 0.9989)))
     cells = F.when(F.col("w3").isNull(), F.array(F.lit(0))).otherwise(cells)
@@ -92,11 +96,70 @@ def repeated_texts(rows: DataFrame, n: int) -> DataFrame:
     return records.groupBy("bucket").applyInPandas(lambda pdf: judge_bucket(pdf), "w1 long, w2 long, w3 long, value double, since string")
 
 
-def repeats(silver: DataFrame, park_metadata: DataFrame) -> DataFrame:
-    """``ingest_key, run_id`` of each row that repeats a row of an earlier run."""
-    rows = texts(silver, park_metadata)
-    found = repeated_texts(rows, bucket_count(2 * silver.count(), ROWS))
+def repeating_rows(rows: DataFrame, found: DataFrame) -> DataFrame:
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) if c == "w3" else F.col(f"a.{c}") == F.col(f"b.{c}") for c in TEXT]
     hit = rows.alias("a").join(found.alias("b"), same + [F.col("a.run_id") > F.col("b.since")], "left_semi")
     hit = hit.filter(F.col("key").isNotNull()).select("key", "run_id").distinct()
     return hit.select(plain_key(F.col("key")).alias("ingest_key"), "run_id")
+
+
+def repeats(silver: DataFrame, park_metadata: DataFrame) -> DataFrame:
+    """``ingest_key, run_id`` of each row that repeats a row of an earlier run."""
+    rows = texts(silver, park_metadata)
+    return repeating_rows(rows, repeated_texts(records_of(rows), bucket_count(2 * silver.count(), ROWS)))
+
+
+class AcceptedHistory:
+    """History of accepted batches in a shared folder, for batches as they come.
+
+    A batch is appended as an immutable segment of its records, partitioned by
+    the month that rows are booked in (copies of a row are booked alike), so a
+    new batch reads only the partitions of its own months.  ``fanout`` segments
+    of a level are merged into one of the next.  Batches must come in the order
+    of their runs.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, fanout: int = 4):
+        self.spark, self.folder, self.fanout, self.n = spark, folder.rstrip("/"), fanout, 0
+        self.levels: list[list[str]] = [[]]
+
+    def _read(self) -> DataFrame | None:
+        paths = [p for level in self.levels for p in level]
+        return self._of(paths) if paths else None
+
+    def _of(self, paths: list[str]) -> DataFrame:
+        return self.spark.read.option("basePath", self.folder).parquet(*paths)
+
+    def _write(self, records: DataFrame, level: int) -> None:
+        self.n += 1
+        path = f"{self.folder}/segment={self.n:06d}"
+        records.repartition("part").sortWithinPartitions("part", *TEXT).write.partitionBy("part").parquet(path)
+        if level == len(self.levels):
+            self.levels.append([])
+        self.levels[level].append(path)
+        if len(self.levels[level]) >= self.fanout:
+            old = self._of(self.levels[level])
+            merged = old.groupBy(*TEXT, "part").agg(F.min("first_run").alias("first_run"), F.max("last_run").alias("last_run"))
+            self.levels[level] = []
+            self._write(merged, level + 1)
+
+    def accept(self, batch: DataFrame, park_metadata: DataFrame) -> DataFrame:
+        """``ingest_key, run_id`` of the batch's rows that repeat an earlier
+        run's (of the history or of the batch); then the batch is history too."""
+        rows = checkpointed(texts(batch, park_metadata, part=month_of_day()))
+        new = checkpointed(records_of(rows, "part"))
+        months = [r[0] for r in new.select("part").distinct().collect()]
+        old = self._read()
+        every = new.drop("part")
+        if old is not None and months:
+            known = old.filter(F.col("part").isin(months)).select(every.columns)
+            every = every.unionByName(known).groupBy(*TEXT).agg(F.min("first_run").alias("first_run"), F.max("last_run").alias("last_run"))
+        found = checkpointed(repeating_rows(rows, repeated_texts(every, bucket_count(every.count(), ROWS))))
+        if months:
+            self._write(new, 0)
+        return found
+
+
+def month_of_day() -> Column:
+    day = F.col("interval_start_date")
+    return F.coalesce(F.year(day) * 100 + F.month(day), F.lit(0))

@@ -79,6 +79,22 @@ def test_a_hot_reading_and_small_buckets(silver, meta, monkeypatch):
     assert got == want
 
 
+def test_batches_as_they_come(spark, silver, meta, tmp_path):
+    rng = np.random.default_rng(5)
+    rows = [row(f"k{rng.integers(60)}", f"r{run:02d}", float(rng.choice([100.0, 100.05, 102.0])), f"2024-0{m}-02 00:00:00", day=dt.date(2024, m, 1)) for run in range(9) for m in rng.integers(1, 5, 12).tolist()]
+    rows = list({(r["ingest_key"], r["run_id"]): r for r in rows}.values())
+    first = {}
+    for r in rows:  # rows with one key are copies of one row
+        r.update({k: v for k, v in first.setdefault(r["ingest_key"], r).items() if k != "run_id"})
+    kept = history.AcceptedHistory(spark, str(tmp_path), fanout=3)
+    got = set()
+    for a, b in ((0, 1), (1, 4), (4, 5), (5, 9)):
+        batch = [r for r in rows if f"r{a:02d}" <= r["run_id"] < f"r{b:02d}"]
+        got |= {tuple(r) for r in kept.accept(silver(batch), meta([])).collect()}
+    assert got == {tuple(r) for r in history.repeats(silver(rows), meta([])).collect()} and got
+    assert sum(map(len, kept.levels)) < 4
+
+
 def test_empty(silver, meta):
     assert history.repeats(silver([]), meta([])).count() == 0
     assert history.repeats(silver([{}, {}]), meta([])).count() == 0
