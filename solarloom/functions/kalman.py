@@ -32,17 +32,18 @@ def start_levels(y: np.ndarray, bins: np.ndarray, mask: np.ndarray, n_bins: int,
     return np.where(np.isnan(out), whole[:, None], out)
 
 
-def innovations(y, bins, days, mask, sigma_floor, sigma_share, drift, z_low, z_high, n_bins):
+def innovations(y, bins, days, mask, sigma_floor, sigma_share, drift, z_low, z_high, n_bins, first=9):
     """Standardised innovations of a forward pass, and what was withheld.
 
     y, bins, days, mask: arrays sources x steps (``mask``: readings that may
     update the state; others are only judged where finite).  The measurement
     noise is ``max(sigma_floor, sigma_share * |level|)``; a level's variance
-    grows by ``drift**2`` a day.  Readings beyond the thresholds do not update.
+    grows by ``drift**2`` a day; it starts at the median of the ``first``
+    readings.  Readings beyond the thresholds do not update.
     """
     s, t = y.shape
     rows = np.arange(s)
-    x = start_levels(y, bins, mask, n_bins)
+    x = start_levels(y, bins, mask, n_bins, first)
     p = np.maximum(sigma_floor, sigma_share * np.abs(x)) ** 2 / 4
     seen = np.full((s, n_bins), days[:, :1] if t else 0.0)
     z = np.zeros((s, t))

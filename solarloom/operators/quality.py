@@ -22,12 +22,13 @@ def flagged(df: DataFrame, rules: DataFrame, required: list[str], mark_all: bool
     rows = rows.join(F.broadcast(rules), "_unit", "left").withColumn("_v", finite(F.col("value")))
     missing = reduce(Column.__or__, [F.col(c).isNull() for c in required])
     outside = F.coalesce((F.col("_v") < F.col("_lo")) | (F.col("_v") > F.col("_hi")), F.lit(False))
-    copies = W.partitionBy("ingest_key")
-    if mark_all:
-        duplicate = F.count("*").over(copies) > 1
+    if mark_all:  # counted map-side and joined back: copies of a hot key never meet in one task
+        copies = df.groupBy(F.col("ingest_key").alias("_key")).agg(F.count("*").alias("_copies")).filter("_copies > 1")
+        rows = rows.join(copies, F.col("ingest_key").eqNullSafe(F.col("_key")), "left")
+        rows = rows.withColumn("_duplicate", F.col("_copies").isNotNull()).drop("_copies", "_key")
     else:
-        duplicate = F.row_number().over(copies.orderBy("run_id", "source_file_hash", F.xxhash64(*[c for c in df.columns if c not in FLAGS]))) > 1
-    rows = rows.withColumn("_duplicate", duplicate)
+        order = W.partitionBy("ingest_key").orderBy("run_id", "source_file_hash", F.xxhash64(*[c for c in df.columns if c not in FLAGS]))
+        rows = rows.withColumn("_duplicate", F.row_number().over(order) > 1)
     rows = rows.withColumns({"flag_missing_required": missing, "flag_invalid_value": F.col("_v").isNull(), "flag_invalid_unit_range": outside, "flag_duplicate": F.col("_duplicate")})
     return rows.drop("_unit", "_lo", "_hi", "_v", "_duplicate")
 
@@ -48,6 +49,13 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(best.alias("_r")).select(*keys, "_r.*").select(*df.columns)
 
 
+def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One row per key, the first by ``order`` (ties by the whole row)."""
+    rest = [c for c in df.columns if c not in keys]
+    best = F.min_by(F.struct(*rest), F.struct(*order, F.xxhash64(*rest)))
+    return df.groupBy(*keys).agg(best.alias("_r")).select(*keys, "_r.*").select(*df.columns)
+
+
 def new_keys(batch: DataFrame, existing: DataFrame, key: str = "ingest_key") -> DataFrame:
     """Rows of the batch whose key is not in the table; reads only its keys."""
     return batch.join(existing.select(key), key, "left_anti")

@@ -39,6 +39,7 @@ class Normal:
     judged); ``per_kwp``: readings are divided by the park's capacity;
     ``bins``: levels per day of wall time; ``floor`` and ``share``: measurement
     noise, absolute and as a share of the level; ``drift``: of a level, a day;
+    ``start``: readings whose median a level starts from;
     ``low`` and ``high``: thresholds of standardised innovations; ``least`` and
     ``most``: limits of physics.
     """
@@ -55,15 +56,16 @@ class Normal:
     least: float = -INF
     most: float = INF
     stuck: bool = True
+    start: int = 9
 
 
 KINDS = (
     Normal("energy_import$", log=True, per_kwp=True, floor=0.26, drift=0.005, low=-15, high=3.85, least=0.0, most=24.0),
     Normal("energy$|energy_export$", log=True, floor=0.165, drift=0.015, low=-15, high=4.1, least=0.0),
     Normal("irradiance", log=True, floor=0.165, drift=0.015, low=-15, high=4.1, least=0.0, most=1500.0),
-    Normal("^active_power$", per_kwp=True, bins=24, floor=0.02, share=0.75, drift=0.004, high=4.5, low=-8.0, least=-0.02, most=1.0),
+    Normal("^active_power$", per_kwp=True, bins=24, floor=0.02, share=0.75, drift=0.004, high=4.5, low=-8.0, least=-0.02, most=0.95),
     Normal("temperature", bins=12, floor=4.0, drift=0.25, low=-7.0, high=6.0, least=-40.0, most=110.0),
-    Normal("wind_speed", share=0.6, floor=0.5, drift=0.01, high=5.3, least=0.0, most=75.0),
+    Normal("wind_speed", share=0.6, floor=0.5, drift=0.01, high=5.0, least=0.0, most=75.0, start=31),
     Normal("^availability$", floor=1.0, least=0.0, most=1.0005, stuck=False),
     Normal("^fault_count$", floor=1.0, share=0.2, drift=0.02, high=6.0, least=0.0, stuck=False),
 )
@@ -101,7 +103,7 @@ def judge(kind: Normal, source, t, hour, y, kwp) -> np.ndarray:
         ok = real & usable[cells]
         bins = (hour[cells] * kind.bins // 24).astype(np.int64)
         with np.errstate(invalid="ignore"):
-            bad = both_ways(yy, bins, t[cells] / 86400.0, ok, kind.low, kind.high, sigma_floor=kind.floor, sigma_share=kind.share, drift=kind.drift, n_bins=kind.bins)
+            bad = both_ways(yy, bins, t[cells] / 86400.0, ok, kind.low, kind.high, sigma_floor=kind.floor, sigma_share=kind.share, drift=kind.drift, n_bins=kind.bins, first=kind.start)
         judged = ok & bad
         flag[cells[judged]] = True
     if kind.stuck:

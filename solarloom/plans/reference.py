@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import naming
-from ..operators import anomaly, decompose, ingest, metrics, profile, quality, reference_day, reshape, selecting
+from ..functions import dates, naming
+from ..operators import anomaly, decompose, ingest, matching, metrics, profile, quality, reference_day, reshape, selecting
 from ..sources import files
 from ..sources.tables import latest_lines, table
 
@@ -323,8 +323,8 @@ def keep_last_per_key(spark, sf):
 
 @query("SELECT ingest_key, min(run_id) AS run_id FROM silver_prepair GROUP BY 1")
 def dedupe_keep_first(spark, sf):
-    w = W.partitionBy("ingest_key").orderBy("run_id", "source_file_hash", "ts_local")
-    return silver(spark, sf).withColumn("_n", F.row_number().over(w)).filter("_n = 1").select("ingest_key", "run_id")
+    rows = silver(spark, sf).select("ingest_key", "run_id", "value", "ts_local")
+    return quality.keep_first(rows, ["ingest_key"], ["run_id"]).select("ingest_key", "run_id")
 
 
 @query("SELECT park_id, signal_name, unit, ts_utc::VARCHAR AS ts, max(run_id) AS run_id FROM silver_prepair WHERE ts_utc IS NOT NULL GROUP BY park_id, signal_name, unit, ts_utc")
@@ -601,6 +601,38 @@ def wide_to_long(spark, sf):
     return long.select(F.date_format("ts_local", "yyyy-MM-dd HH:mm:ss").alias("ts_local"), day_text("interval_start_date").alias("day"), "park_id", "park_capacity_kwp", "signal_name", "unit", "value")
 
 
+@query("SELECT event_id, make_date(2001, month(ts)::INT, least(day(ts), day(last_day(make_date(2001, month(ts)::INT, 1))))::INT)::VARCHAR AS day FROM events")
+def same_day_in_2001(spark, sf):
+    return table(spark, sf, "events").select("event_id", day_text(dates.in_year(F.to_date("ts"), 2001)).alias("day"))
+
+
+_WORDS = "list_distinct(list_filter(string_split(regexp_replace(lower({c}), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: w <> '' AND NOT regexp_matches(w, '[0-9]') AND w NOT IN ('kw', 'mw', 'kwp', 'mwp')))"
+
+
+@query(f"""WITH a AS (SELECT park_id, unnest({_WORDS.format(c='park_id')}) AS word FROM (SELECT DISTINCT park_id FROM silver_prepair WHERE park_id IS NOT NULL)),
+ b AS (SELECT park_name, unnest({_WORDS.format(c='park_name')}) AS word FROM (SELECT DISTINCT park_name FROM park_metadata WHERE park_name IS NOT NULL)),
+ n AS (SELECT park_id, park_name, count(*) AS n_words FROM a JOIN b USING (word) GROUP BY 1, 2 HAVING count(*) >= 2)
+ SELECT park_id, park_name, n_words FROM n QUALIFY row_number() OVER (PARTITION BY park_id ORDER BY n_words DESC, park_name) = 1""")
+def word_match(spark, sf):
+    return matching.best_overlap(silver(spark, sf), table(spark, sf, "park_metadata"), "park_id", "park_name")
+
+
+@query(f"SELECT count(value) AS n, {s32('avg(value)')} AS mean, {s32('stddev_samp(value)')} AS std, min(value) AS least, {s32('median(value)')} AS median, max(value) AS most FROM ({READ})")
+def describe_values(spark, sf):
+    out = metrics.summary(readings(spark, sf), [], "value")
+    return out.select("n", f32("mean").alias("mean"), f32("std").alias("std"), "least", f32("median").alias("median"), "most")
+
+
+@query(f"""WITH e AS (SELECT e.park_id, e.day, e.kwh / t.expected AS pi FROM ({ENERGY}) e LEFT JOIN ({TYPICAL}) t ON t.park_id = e.park_id AND t.m = month(e.day) AND t.d = CASE WHEN month(e.day) = 2 THEN least(28, day(e.day)) ELSE day(e.day) END),
+ m AS (SELECT *, median(pi) OVER (PARTITION BY park_id) AS m FROM e), d AS (SELECT *, median(abs(pi - m)) OVER (PARTITION BY park_id) AS mad FROM m)
+ SELECT park_id, day::VARCHAR AS day, {s32('pi')} AS pi, round(CASE WHEN mad > 0 THEN (pi - m) / (mad * 1.4826) ELSE 0 END, 6) AS score, (CASE WHEN pi < 0.8 THEN -1 WHEN pi > 1.2 THEN 1 ELSE 0 END)::INT AS flag FROM d""")
+def performance_anomaly(spark, sf):
+    """Ratio to the typical day, its robust score and its band, in one plan."""
+    rows = _aligned(spark, sf, leap_day="ffill").withColumn("pi", F.try_divide("kwh", "expected"))
+    out = anomaly.robust_score(rows, "pi", ["park_id"])
+    return out.select("park_id", day_text("day").alias("day"), f32("pi").alias("pi"), F.round("score", 6).alias("score"), anomaly.band_flag(F.col("pi")).alias("flag"))
+
+
 @query()
 def stream_quality_counts(spark, sf):
     from ..streaming.ingest import drain

@@ -189,3 +189,55 @@ def test_streaming_ingest_is_idempotent(spark, tmp_path):
     (inbox / "f2.csv").write_text(",".join(columns) + "\n2024-02-02 00:00:00,0.25,\n")
     ingest_exports(spark, str(inbox), columns, rules, str(out))
     assert n()[0] == 4
+
+
+def test_control(spark, tmp_path):
+    from solarloom.sinks import control
+
+    r = control.Registry(spark, str(tmp_path / "reg"))
+    assert r.rows().count() == 0
+    r.append([{"source_file_hash": "a", "status": "ingested", "rows_long": 3}, {"source_file_hash": "b", "status": "rejected"}])
+    files_df = spark.createDataFrame([("a",), ("b",), ("c",)], "source_file_hash string")
+    assert sorted(x[0] for x in r.unseen(files_df).collect()) == ["b", "c"]
+    w = control.Watermark(str(tmp_path / "w" / "mark"))
+    assert w.get() is None and w.commit(["2", "1"]) == "2" and w.commit(["1"]) == "2" and w.get() == "2" and w.commit([]) == "2"
+    (tmp_path / "x_v001.md").write_text("")
+    (tmp_path / "x_v007.md").write_text("")
+    assert control.next_version(str(tmp_path), "x", ".md").endswith("x_v008.md") and control.next_version(str(tmp_path / "no"), "y").endswith("y_v001")
+    assert control.beyond_retention(["c", "a", "b"], 1) == ["a", "b"] and control.beyond_retention(["a"], None) == []
+    t = spark.createDataFrame([("p", 1.23456789, None)], "a string, b double, c int")
+    assert "| p | 1.235 |  |" in control.markdown(t, "T") and "More than 0 rows" in control.markdown(t, "T", 0)
+    control.write_with_sidecar(t, str(tmp_path / "rep"), rules=3)
+    control.write_with_sidecar(t.limit(0), str(tmp_path / "none"))
+    assert json.loads((tmp_path / "rep.meta.json").read_text()) == {"rules": 3} and not (tmp_path / "none").exists()
+    assert control.RUN_ID.fullmatch(control.new_run_id(dt.datetime(2024, 1, 2), "ab" * 32))
+
+
+def test_validation_of_new_runs(spark, silver, tmp_path):
+    from solarloom.jobs import validate_new_runs
+    from solarloom.sinks.control import Watermark
+
+    base = dict(ts_utc=dt.datetime(2024, 1, 1), park_id="p", signal_name="s", unit="pct", value=0.5, year=2024, month=1)
+    rules = spark.createDataFrame([("pct", 0.0, 1.0)], "unit string, min_allowed double, max_allowed double")
+    write = lambda name, rows: silver(rows).write.parquet(str(tmp_path / name))
+    write("a", [base | {"ingest_key": f"k{i}"} for i in range(9)] + [base | {"ingest_key": "bad", "value": 4.0}])
+    write("b", [base | {"ingest_key": "k1"}, base | {"ingest_key": "new"}])
+    write("c", [base | {"ingest_key": f"c{i}", "value": 7.0} for i in range(3)])
+    log = lambda *runs: spark.createDataFrame([(r, "d", [str(tmp_path / f)]) for r, f in runs], "run_id string, dataset string, files_written array<string>")
+    mark, out = Watermark(str(tmp_path / "mark")), str(tmp_path / "out")
+    step = lambda logs: validate_new_runs(spark, logs, rules, out, mark)
+    first = step(log(("20240101T000000Z", "a")))
+    assert (first.rows, first.invalid, first.appended, first.accepted, first.flags["flag_invalid_unit_range"]) == (10, 1, 9, True, 1)
+    logs = log(("20240101T000000Z", "a"), ("20240102T000000Z", "b"))
+    assert step(logs).appended == 1 and step(logs).runs == 0
+    last = step(log(("20240103T000000Z", "c")))
+    assert not last.accepted and last.appended == 0 and mark.get() == "20240103T000000Z"
+    assert spark.read.parquet(f"{out}/fact").count() == 10 and spark.read.parquet(f"{out}/quarantine").count() == 4
+
+
+def test_years():
+    from solarloom.functions.dates import clamped_years
+
+    assert clamped_years(2000, 2030) == (2005, 2023)
+    with pytest.raises(ValueError):
+        clamped_years(2024, 2030)
