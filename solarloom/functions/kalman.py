@@ -83,6 +83,7 @@ def stuck(source: np.ndarray, t: np.ndarray, y: np.ndarray, least: int) -> np.nd
     n = len(y)
     if not n:
         return np.zeros(0, bool)
+    y = y.astype(np.float32)  # one value may come through two conversions
     new = np.r_[True, (source[1:] != source[:-1]) | (t[1:] != t[:-1])]
     step = np.cumsum(new)
     step = step + np.cumsum(np.r_[False, source[1:] != source[:-1]])  # a gap between sources
@@ -94,3 +95,16 @@ def stuck(source: np.ndarray, t: np.ndarray, y: np.ndarray, least: int) -> np.nd
     out = np.zeros(n, bool)
     out[order] = (length >= least) & (yo != 0)
     return out
+
+
+def repeated(source: np.ndarray, t: np.ndarray, y: np.ndarray, flag: np.ndarray, tolerance: float = 0.001) -> np.ndarray:
+    """Flags, with those of other deliveries of a flagged reading: the same
+    source and time, and a value within ``tolerance`` of the larger.
+
+    The arrays are sorted by source, time and value."""
+    flag = flag.copy()
+    if len(y) < 2:
+        return flag
+    near = (source[1:] == source[:-1]) & (t[1:] == t[:-1]) & (np.abs(y[1:] - y[:-1]) <= tolerance * np.maximum(np.abs(y[1:]), np.abs(y[:-1])))
+    first = np.flatnonzero(np.r_[True, ~near])
+    return np.repeat(np.logical_or.reduceat(flag, first), np.diff(np.r_[first, len(y)]))

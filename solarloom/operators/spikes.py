@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.kalman import both_ways, stuck
+from ..functions.kalman import both_ways, repeated, stuck
 from .instants import lag_of, with_instants
 from .readings import capacity_in_name, in_common_units
 from .sizing import bucket_count, checked_side
@@ -79,7 +79,7 @@ def kind_of(signal: Column) -> Column:
 
 
 def judge(kind: Normal, source, t, hour, y, kwp) -> np.ndarray:
-    """Flags of distinct readings of one kind, sorted by source and time."""
+    """Flags of distinct readings of one kind, sorted by source, time and value."""
     size = np.where(kwp > 0, kwp, np.nan) if kind.per_kwp else np.ones(len(y))
     v = y / size
     flag = (v < kind.least) | (v > kind.most)  # false where the capacity is unknown
@@ -108,7 +108,7 @@ def judge(kind: Normal, source, t, hour, y, kwp) -> np.ndarray:
         flag[cells[judged]] = True
     if kind.stuck:
         flag |= stuck(source, t, y, STUCK)
-    return flag
+    return repeated(source, t, y, flag)
 
 
 def judge_bucket(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -61,6 +61,30 @@ _PLAIN = r"""regexp_replace(regexp_replace(regexp_replace(lower(trim(signal_name
 _READING = f"""SELECT park_id, {_PLAIN} AS signal_name, interval_start_date AS d, value FROM silver_prepair
  WHERE park_id IS NOT NULL AND signal_name IS NOT NULL AND interval_start_date IS NOT NULL AND value IS NOT NULL AND isfinite(value)"""
 
+
+# Common units for the SQL side, written out on its own: target -> unit text -> factor, offset.
+_UNITS = {
+    "kwh": {"kwh kw*h": "1, 0", "wh": "0.001, 0", "mwh": "1000, 0", "gwh": "1000000, 0", "mj": "1 / 3.6, 0", "gj": "1000 / 3.6, 0"},
+    "kw": {"kw": "1, 0", "w watt": "0.001, 0", "mw": "1000, 0"},
+    "w_m_2": {"w_m_2 w/m2 w/m² w*m^-2": "1, 0", "kw_m_2 kw/m2 kw/m² kw*m^-2": "1000, 0", "mw_cm2 mw/cm2 mw/cm²": "10, 0"},
+    "m_s_1": {"m_s_1 m/s m*s^-1": "1, 0", "km_h km/h": "1 / 3.6, 0", "knots knot kn": "1852 / 3600.0, 0", "mph": "0.44704, 0"},
+    "c": {"c degc °c celsius": "1, 0", "k": "1, -273.15", "f °f degf fahrenheit": "5 / 9.0, -160 / 9.0"},
+    "fraction": {"fraction pct p.u.": "1, 0", "percent %": "0.01, 0", "permille": "0.001, 0"},
+}
+_CONV = ", ".join(f"('{t}', '{u}', {f})" for t, units in _UNITS.items() for us, f in units.items() for u in us.split())
+_TAIL = "_{1,2}(kwh|wh|mwh|gwh|mj|gj|kw_m_2|w_m_2|mw_cm2|watt|kw|mw|w|m_s_1|km_h|knots|knot|kn|mph|celsius|degc|c|kelvin|k|fahrenheit|degf|f|fraction|percent|permille|pct)$"
+_COMMON = f"""conv(t, u, a, b) AS (VALUES {_CONV}),
+n AS (SELECT *, {_PLAIN} AS sig, lower(trim(signal_name)) AS low, regexp_replace(regexp_replace(lower(coalesce(unit, '')), '\s+', '', 'g'), '^u_+', '') AS own FROM silver_prepair),
+m AS (SELECT *, replace(CASE WHEN regexp_matches(low, '[\)\]]$') THEN regexp_extract(low, '[\(\[]\s*(.*?)\s*[\)\]]$', 1) ELSE regexp_extract(low, '^(.+?){_TAIL}', 2) END, ' ', '') AS ins,
+ CASE WHEN sig LIKE '%energy%' THEN 'kwh' WHEN sig LIKE '%power%' THEN 'kw' WHEN sig LIKE '%irradiance%' THEN 'w_m_2' WHEN sig IN ('availability', 'soiling_ratio') THEN 'fraction' WHEN sig LIKE '%temperature%' THEN 'c' WHEN sig LIKE '%wind_speed%' THEN 'm_s_1' END AS t,
+ date_trunc('month', interval_start_date) AS mo FROM n WHERE park_id IS NOT NULL AND sig IS NOT NULL AND interval_start_date IS NOT NULL AND value IS NOT NULL AND isfinite(value)),
+l AS (SELECT m.*, CASE WHEN i.a IS NOT NULL THEN value * i.a + i.b WHEN o.a IS NOT NULL THEN value * o.a + o.b ELSE value END AS lab FROM m LEFT JOIN conv i ON i.t = m.t AND i.u = m.ins LEFT JOIN conv o ON o.t = m.t AND o.u = m.own),
+k AS (SELECT *, coalesce(max(CASE WHEN park_capacity_kwp > 0 THEN park_capacity_kwp END) OVER (PARTITION BY park_id, sig, run_id, mo), try_cast(regexp_extract(park_id, '_(\d+)_kwp', 1) AS DOUBLE)) AS cap FROM l WHERE value <> 0 AND abs(value) NOT IN (999, 9999, 99999, 999999, 9999999) AND (lab > 0 OR sig = 'active_power')),
+g AS (SELECT park_id, sig, run_id, mo, count(*) AS n, log10(CASE WHEN sig = 'active_power' THEN quantile_disc(abs(lab), 0.8) ELSE quantile_disc(abs(lab), 0.5) END) - log10(CASE WHEN sig LIKE 'inverter%energy' THEN 350 WHEN sig LIKE '%energy_export' THEN 2.5 * any_value(cap)
+ WHEN sig LIKE '%energy_import' THEN 0.017 * any_value(cap) WHEN sig = 'active_power' THEN 0.4 * any_value(cap) WHEN sig LIKE '%irradiance%' THEN 140 WHEN sig IN ('availability', 'soiling_ratio') THEN 1 END) AS off FROM k GROUP BY 1, 2, 3, 4),
+x AS (SELECT *, CASE WHEN sig IN ('availability', 'soiling_ratio') THEN CASE WHEN abs(off - 2) <= 0.85 THEN 2 WHEN abs(off - 3) <= 0.85 THEN 3 END WHEN abs(off - 3) <= 0.85 THEN 3 WHEN abs(off + 3) <= 0.85 AND (sig <> 'active_power' OR n >= 4) THEN -3 END AS e FROM g WHERE abs(off) > 1.5),
+c AS (SELECT l.*, lab * CASE e WHEN 2 THEN 0.01 WHEN 3 THEN 0.001 WHEN -3 THEN 1000 ELSE 1 END AS common FROM l LEFT JOIN x USING (park_id, sig, run_id, mo))"""
+
 SQL: dict[str, str] = {
     "p1_found": f"""
 WITH r AS ({_READING}), e AS (SELECT * FROM r WHERE signal_name = 'pcc_active_energy_export'),
@@ -75,4 +99,8 @@ UNION ALL SELECT park_id, strftime(d, '%Y-%m-%d'), 30::INT FROM w WHERE s30 = 0
 WITH r AS ({_READING}), p AS (SELECT park_id, signal_name, min(d) AS a, max(d) AS z FROM r GROUP BY 1, 2),
 days AS (SELECT park_id, signal_name, unnest(generate_series(a, z, INTERVAL 1 DAY))::DATE AS d FROM p)
 SELECT park_id, signal_name, strftime(d, '%Y-%m-%d') AS interval_day FROM days ANTI JOIN r USING (park_id, signal_name, d)""",
+    "p3_found": f"WITH {_COMMON} SELECT DISTINCT ingest_key FROM c WHERE common <> value",
+    "p6_found": f"""WITH {_COMMON} SELECT park_id, strftime(interval_start_date, '%Y-%m-%d') AS interval_day, sig AS signal_name FROM c
+ WHERE sig IN ('pcc_active_energy_export', 'pcc_active_energy_import', 'average_irradiance', 'availability', 'soiling_ratio', 'fault_count', 'breaker_state') OR regexp_matches(sig, '^inverter_\\d+_energy$')
+ GROUP BY 1, 2, 3 HAVING max(common) - min(common) > 0.001 * greatest(abs(max(common)), abs(min(common)))""",
 }

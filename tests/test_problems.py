@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from solarloom.functions.kalman import stuck
+from solarloom.functions.kalman import repeated, stuck
 from solarloom.functions.ssa import impute
 from solarloom.operators import gridding, instants, rolling, spikes, tiles, wide
 
@@ -104,6 +104,12 @@ def test_stuck_against_brute_force(points):
     assert got == want
 
 
+def test_other_deliveries_of_a_flagged_reading():
+    s, t = np.array([1, 1, 1, 1, 2]), np.array([5, 5, 5, 6, 6])
+    y, f = np.array([100.0, 100.05, 120.0, 100.0, 100.0]), np.array([False, True, False, False, False])
+    assert repeated(s, t, y, f).tolist() == [True, True, False, False, False] and not len(repeated(s[:0], t[:0], y[:0], f[:0]))
+
+
 def spike_table():
     rng = np.random.default_rng(3)
     rows, bad = [], set()
@@ -123,8 +129,9 @@ def spike_table():
         bad.add(f"w{i}")
     rows.append(row(6, 45.0, signal="active_power", unit="kw", key="night", ts_local=f"{day(6)} 02:30:00"))
     rows.append(row(40, 2600.0, key="again", run="20240901T000000Z"))
+    rows.append(row(82, 3.2112, signal="wind_speed", unit="m_s_1", key="altered", run="20240901T000000Z", ts_local=f"{day(82)} 12:22:00"))
     rows += [row(3, 5.0, signal="breaker_state", key="state"), row(3, float("nan"), key="nan"), row(3, 1e9, None, key="nopark"), row(3, 1e9, signal=None, key="noname")]
-    return rows, bad | {"night", "again"}
+    return rows, bad | {"night", "again", "altered"}
 
 
 def test_spikes(silver, meta):
