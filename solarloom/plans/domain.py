@@ -85,6 +85,28 @@ g AS (SELECT park_id, sig, run_id, mo, count(*) AS n, log10(CASE WHEN sig = 'act
 x AS (SELECT *, CASE WHEN sig IN ('availability', 'soiling_ratio') THEN CASE WHEN abs(off - 2) <= 0.85 THEN 2 WHEN abs(off - 3) <= 0.85 THEN 3 END WHEN abs(off - 3) <= 0.85 THEN 3 WHEN abs(off + 3) <= 0.85 AND (sig <> 'active_power' OR n >= 4) THEN -3 END AS e FROM g WHERE abs(off) > 1.5),
 c AS (SELECT l.*, lab * CASE e WHEN 2 THEN 0.01 WHEN 3 THEN 0.001 WHEN -3 THEN 1000 ELSE 1 END AS common FROM l LEFT JOIN x USING (park_id, sig, run_id, mo))"""
 
+# Time texts on the SQL side: one format for each layout, offsets a day before and after tell gaps and overlaps.
+_INSTANTS = r"""z AS (SELECT park_id, coalesce((SELECT any_value(name) FROM pg_timezone_names() WHERE lower(name) = lower(trim(timezone))),
+ CASE lower(trim(timezone)) WHEN 'w. europe standard time' THEN 'Europe/Berlin' WHEN 'gtb standard time' THEN 'Europe/Bucharest' ELSE 'Europe/Athens' END) AS zone
+ FROM (SELECT * FROM park_metadata WHERE park_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY park_id ORDER BY line_no DESC) = 1)),
+r AS (SELECT ingest_key, ts_utc, trim(ts_local) AS x, coalesce(zone, 'Europe/Athens') AS zone FROM silver_prepair LEFT JOIN z USING (park_id) WHERE park_id IS NOT NULL),
+w AS (SELECT *, CASE
+ WHEN regexp_matches(x, '^\d{13}$') THEN make_timestamp(x::BIGINT * 1000) WHEN regexp_matches(x, '^\d{10}$') THEN make_timestamp(x::BIGINT * 1000000)
+ WHEN regexp_matches(x, '^\d{5}(\.\d+)?$') THEN make_timestamp((round((x::DOUBLE - 25569) * 86400000))::BIGINT * 1000)
+ WHEN regexp_matches(x, '^\d{4}-\d\d-\d\d') THEN regexp_extract(x, '^(\d{4}-\d\d-\d\d[T ]\d\d:\d\d:\d\d(\.\d+)?)', 1)::TIMESTAMP
+ WHEN regexp_matches(x, '^\d{8}T') THEN strptime(x[:15], '%Y%m%dT%H%M%S') WHEN regexp_matches(x, '^\d\d-[A-Z]') THEN strptime(x, '%d-%b-%Y %H:%M:%S')
+ WHEN regexp_matches(x, 'M$') THEN strptime(x, '%m/%d/%Y %I:%M:%S %p')
+ WHEN regexp_matches(x, '^\d\d[.]\d\d[.]\d\d ') THEN strptime(x, '%d.%m.%y %H:%M') WHEN regexp_matches(x, '^\d\d[.]') THEN strptime(x, '%d.%m.%Y %H:%M:%S')
+ WHEN regexp_matches(x, ':\d\d:\d\d$') THEN strptime(x, '%d/%m/%Y %H:%M:%S')
+ ELSE strptime(replace(x, ' 24:', ' 00:'), '%d/%m/%Y %H:%M') + CASE WHEN x LIKE '% 24:%' THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END END AS wall,
+ CASE WHEN regexp_matches(x, '^(\d{10}|\d{13})$') OR x LIKE '%Z' OR x LIKE '% WET' THEN 0 WHEN x LIKE '% CET' OR x LIKE '% WEST' THEN 60 WHEN x LIKE '% EET' OR x LIKE '% CEST' THEN 120 WHEN x LIKE '% EEST' THEN 180
+ WHEN regexp_matches(x, 'T.*[+]\d\d:?\d\d$') THEN regexp_extract(x, '[+](\d\d):?\d\d$', 1)::INT * 60 + x[-2:]::INT END AS off FROM r),
+o AS (SELECT *, date_diff('minute', (wall - INTERVAL 1 DAY)::TIMESTAMP, timezone(zone, timezone('UTC', (wall - INTERVAL 1 DAY)::TIMESTAMP))) AS a, date_diff('minute', (wall + INTERVAL 1 DAY)::TIMESTAMP, timezone(zone, timezone('UTC', (wall + INTERVAL 1 DAY)::TIMESTAMP))) AS b FROM w),
+v AS (SELECT *, timezone('UTC', wall - to_minutes(a)) AS ca, timezone('UTC', wall - to_minutes(b)) AS cb FROM o),
+t AS (SELECT *, timezone(zone, ca) = wall AS va, timezone(zone, cb) = wall AS vb FROM v),
+i AS (SELECT ingest_key, ts_utc, CASE WHEN off IS NOT NULL THEN timezone('UTC', wall - to_minutes(off)) WHEN va THEN ca WHEN vb THEN cb ELSE timezone('UTC', date_trunc('hour', wall) - to_minutes(a)) END AS first_at,
+ CASE WHEN off IS NULL AND va AND vb THEN cb END AS other FROM t)"""
+
 SQL: dict[str, str] = {
     "p1_found": f"""
 WITH r AS ({_READING}), e AS (SELECT * FROM r WHERE signal_name = 'pcc_active_energy_export'),
@@ -103,4 +125,6 @@ SELECT park_id, signal_name, strftime(d, '%Y-%m-%d') AS interval_day FROM days A
     "p6_found": f"""WITH {_COMMON} SELECT park_id, strftime(interval_start_date, '%Y-%m-%d') AS interval_day, sig AS signal_name FROM c
  WHERE sig IN ('pcc_active_energy_export', 'pcc_active_energy_import', 'average_irradiance', 'availability', 'soiling_ratio', 'fault_count', 'breaker_state') OR regexp_matches(sig, '^inverter_\\d+_energy$')
  GROUP BY 1, 2, 3 HAVING max(common) - min(common) > 0.001 * greatest(abs(max(common)), abs(min(common)))""",
+    "p5_found": f"""WITH {_INSTANTS} SELECT DISTINCT ingest_key, floor(epoch_us(first_at) / 1000000)::BIGINT AS utc_s FROM i
+ WHERE ts_utc IS NULL OR (abs(epoch_us(ts_utc) - epoch_us(first_at)) > 1000000 AND (other IS NULL OR abs(epoch_us(ts_utc) - epoch_us(other)) > 1000000))""",
 }
