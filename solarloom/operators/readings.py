@@ -10,7 +10,8 @@ whole group is rescaled.  Zeros, signs and NaN never count towards the level.
 Defined results: null ``unit``, empty, unknown or foreign units mean the common
 unit; null names, dates and parks give rows that are no readings
 (``is_reading`` false) and are kept; null, NaN and infinite values are no
-readings either.  Extra columns pass through; helper names start with ``_``.
+readings either; a null ``run_id`` has the scale that its texts say.  Only
+needed columns are taken from the table, so extra ones never clash.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from pyspark.sql import functions as F
 from ..functions.units import conversion_table, split_signal, target_of, unit_key
 from .sizing import BROADCAST_ROWS, checked_side, checkpointed
 
-SOURCE = ["park_id", "signal"]
 DELIVERY = ["park_id", "signal", "run_id", "_month"]
 
 

@@ -43,6 +43,6 @@ def ratio(numerator: Column, denominator: Column, least: float | None = None, ke
     return F.when(out.isNotNull(), F.greatest(lo, F.least(hi, out))) if clip else F.when(out.between(lo, hi), out)
 
 
-def forward_filled(df: DataFrame, value: str, keys: list[str], order: str) -> Column:
+def forward_filled(value: str, keys: list[str], order: str) -> Column:
     """Last non-null value up to the row."""
     return F.last(value, ignorenulls=True).over(W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, 0))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..functions.kalman import both_ways, repeated, stuck
 from .instants import lag_of, with_instants
 from .readings import capacity_in_name, in_common_units
-from .sizing import bucket_count, checked_side
+from .sizing import bucket_count, bucket_of, checked_side
 
 #: Readings per bucket, readings of one source per tile, and days of tile and halo.
 ROWS, TILE_ROWS, TILE_DAYS, HALO_DAYS = 40_000, 30_000, 180, 20
@@ -177,5 +177,5 @@ def implausible_keys(silver: DataFrame, park_metadata: DataFrame) -> DataFrame:
     )
     n = bucket_count(silver.count(), ROWS)
     rows = tiled(rows, dense)
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("source", "tile"), F.lit(n)).cast("int"))
+    rows = rows.withColumn("bucket", bucket_of(n, "source", "tile"))
     return rows.groupBy("bucket").applyInPandas(lambda pdf: judge_bucket(pdf), "ingest_key string").distinct()

@@ -633,6 +633,17 @@ def performance_anomaly(spark, sf):
     return out.select("park_id", day_text("day").alias("day"), f32("pi").alias("pi"), F.round("score", 6).alias("score"), anomaly.band_flag(F.col("pi")).alias("flag"))
 
 
+@query(f"SELECT park_id, period::VARCHAR AS period, last_value(CASE WHEN kwh > 600 THEN kwh END IGNORE NULLS) OVER (PARTITION BY park_id ORDER BY period ROWS UNBOUNDED PRECEDING) AS kwh FROM ({MONTHLY})")
+def forward_fill(spark, sf):
+    rows = monthly(spark, sf).withColumn("kwh", F.when(F.col("kwh") > 600, F.col("kwh")))
+    return rows.select("park_id", day_text("period").alias("period"), reference_day.forward_filled("kwh", ["park_id"], "period").alias("kwh"))
+
+
+@query("SELECT p_partkey, array_to_string(list_transform(string_split(regexp_replace(regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g'), '_'), lambda w: w[:4]), '_') AS short FROM part")
+def abbreviated_names(spark, sf):
+    return table(spark, sf, "part").select("p_partkey", naming.abbreviated(naming.snake_case(F.col("p_name"))).alias("short"))
+
+
 @query()
 def stream_quality_counts(spark, sf):
     from ..streaming.ingest import drain

@@ -12,7 +12,6 @@ import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 REGISTRY = (
     "dataset string, source_file_hash string, source_file string, run_id string, status string, rows_long bigint, "
@@ -96,7 +95,3 @@ def markdown(df: DataFrame, title: str, most_rows: int = 1000) -> str:
     lines = [f"## {title}", "", "| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
     lines += ["| " + " | ".join(map(text, r)) + " |" for r in rows[:most_rows]]
     return "\n".join(lines + ([f"\nMore than {most_rows} rows."] if len(rows) > most_rows else [])) + "\n"
-
-
-def latest_first(table: DataFrame, column: str = "ingested_at_utc") -> DataFrame:
-    return table.orderBy(F.desc(column))

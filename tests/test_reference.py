@@ -235,8 +235,11 @@ def test_validation_of_new_runs(spark, silver, tmp_path):
     assert spark.read.parquet(f"{out}/fact").count() == 10 and spark.read.parquet(f"{out}/quarantine").count() == 4
 
 
-def test_years():
-    from solarloom.functions.dates import clamped_years
+def test_years(spark):
+    from solarloom.functions.dates import clamped_years, params_key
+
+    one = spark.range(1).select(params_key(F.struct(F.lit(1).alias("a"))).alias("k"), params_key(F.struct(F.lit(2).alias("a"))).alias("m"), naming.distinct_words(F.lit("sol_Park_sol_x")).alias("w")).first()
+    assert len(one["k"]) == 12 and one["k"] != one["m"] and one["w"] == "sol_park_x"
 
     assert clamped_years(2000, 2030) == (2005, 2023)
     with pytest.raises(ValueError):
