@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..operators.instants import lag_of, with_instants
 from ..operators.readings import in_common_units
-from ..operators.sizing import bucket_count, checkpointed
+from ..operators.sizing import bucket_count, bucket_of, checkpointed
 
 TOLERANCE = 0.001
 #: Words of a match, records per bucket, records per batch of the index.
@@ -92,7 +92,7 @@ def repeated_texts(records: DataFrame, n: int) -> DataFrame:
     cells = F.array_distinct(F.array(value_cell(v), value_cell(v * 1.0011), value_cell(v * 0.9989)))
     cells = F.when(F.col("w3").isNull(), F.array(F.lit(0))).otherwise(cells)
     records = records.withColumn("cell", F.explode(cells)).withColumn("core", F.col("w3").isNull() | (F.col("cell") == value_cell(v)))
-    records = records.withColumn("bucket", F.pmod(F.xxhash64("w1", "w2", "w3", "cell"), F.lit(n)).cast("int")).drop("cell")
+    records = records.withColumn("bucket", bucket_of(n, "w1", "w2", "w3", "cell")).drop("cell")
     return records.groupBy("bucket").applyInPandas(lambda pdf: judge_bucket(pdf), "w1 long, w2 long, w3 long, value double, since string")
 
 
