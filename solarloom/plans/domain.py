@@ -73,7 +73,7 @@ _UNITS = {
 }
 _CONV = ", ".join(f"('{t}', '{u}', {f})" for t, units in _UNITS.items() for us, f in units.items() for u in us.split())
 _TAIL = "_{1,2}(kwh|wh|mwh|gwh|mj|gj|kw_m_2|w_m_2|mw_cm2|watt|kw|mw|w|m_s_1|km_h|knots|knot|kn|mph|celsius|degc|c|kelvin|k|fahrenheit|degf|f|fraction|percent|permille|pct)$"
-_COMMON = f"""conv(t, u, a, b) AS (VALUES {_CONV}),
+_COMMON = rf"""conv(t, u, a, b) AS (VALUES {_CONV}),
 n AS (SELECT *, {_PLAIN} AS sig, lower(trim(signal_name)) AS low, regexp_replace(regexp_replace(lower(coalesce(unit, '')), '\s+', '', 'g'), '^u_+', '') AS own FROM silver_prepair),
 m AS (SELECT *, replace(CASE WHEN regexp_matches(low, '[\)\]]$') THEN regexp_extract(low, '[\(\[]\s*(.*?)\s*[\)\]]$', 1) ELSE regexp_extract(low, '^(.+?){_TAIL}', 2) END, ' ', '') AS ins,
  CASE WHEN sig LIKE '%energy%' THEN 'kwh' WHEN sig LIKE '%power%' THEN 'kw' WHEN sig LIKE '%irradiance%' THEN 'w_m_2' WHEN sig IN ('availability', 'soiling_ratio') THEN 'fraction' WHEN sig LIKE '%temperature%' THEN 'c' WHEN sig LIKE '%wind_speed%' THEN 'm_s_1' END AS t,
