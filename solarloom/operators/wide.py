@@ -70,11 +70,13 @@ def to_wide(cells: DataFrame, most_columns: int = MOST_COLUMNS) -> DataFrame:
 
 class WideStore:
     """Levels of sorted runs in a folder; every ``fanout`` runs of a level are
-    compacted into one run of the next.  Runs are immutable Parquet folders."""
+    compacted into one run of the next.  Runs are immutable Parquet folders;
+    ``levels`` (their paths) is the whole state and resumes a store."""
 
-    def __init__(self, spark, folder: str, fanout: int = 4):
-        self.spark, self.folder, self.fanout, self.levels = spark, folder.rstrip("/"), fanout, [[]]
-        self._n = 0
+    def __init__(self, spark, folder: str, fanout: int = 4, levels: list[list[str]] | None = None):
+        self.spark, self.folder, self.fanout = spark, folder.rstrip("/"), fanout
+        self.levels = [list(x) for x in levels or [[]]]
+        self._n = max([int(p[-6:]) for x in self.levels for p in x], default=0)
 
     def _write(self, cells: DataFrame, level: int) -> str:
         self._n += 1

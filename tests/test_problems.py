@@ -180,6 +180,7 @@ def test_contradictions_and_wide(silver, spark, tmp_path):
     batches = wide.daily_readings(df)
     for run in ("3", "1", "2", "20240101T000000Z"):
         store.upsert(batches.filter(batches.run_id == run))
+        store = wide.WideStore(spark, str(tmp_path), fanout=2, levels=store.levels)
     store.upsert(batches.filter(batches.run_id.isNull()))
     cells = lambda c: sorted((str(r["interval_start_date"]), r["signal"], r["version"]["value"], r["low"], r["high"], r["n"]) for r in c.collect())
     assert cells(store.cells()) == cells(wide.delta(batches)) and len(store.levels) > 1
