@@ -116,12 +116,14 @@ class AcceptedHistory:
     the month that rows are booked in (copies of a row are booked alike), so a
     new batch reads only the partitions of its own months.  ``fanout`` segments
     of a level are merged into one of the next.  Batches must come in the order
-    of their runs.
+    of their runs.  ``levels`` (the segments' paths) is the whole state and
+    resumes a history.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, fanout: int = 4):
-        self.spark, self.folder, self.fanout, self.n = spark, folder.rstrip("/"), fanout, 0
-        self.levels: list[list[str]] = [[]]
+    def __init__(self, spark: SparkSession, folder: str, fanout: int = 4, levels: list[list[str]] | None = None):
+        self.spark, self.folder, self.fanout = spark, folder.rstrip("/"), fanout
+        self.levels = [list(x) for x in levels or [[]]]
+        self.n = max([int(p[-6:]) for x in self.levels for p in x], default=0)
 
     def _read(self) -> DataFrame | None:
         paths = [p for level in self.levels for p in level]

@@ -91,6 +91,7 @@ def test_batches_as_they_come(spark, silver, meta, tmp_path):
     for a, b in ((0, 1), (1, 4), (4, 5), (5, 9)):
         batch = [r for r in rows if f"r{a:02d}" <= r["run_id"] < f"r{b:02d}"]
         got |= {tuple(r) for r in kept.accept(silver(batch), meta([])).collect()}
+        kept = history.AcceptedHistory(spark, str(tmp_path), fanout=3, levels=kept.levels)
     assert got == {tuple(r) for r in history.repeats(silver(rows), meta([])).collect()} and got
     assert sum(map(len, kept.levels)) < 4
 
