@@ -8,6 +8,7 @@ smoothing, robustness weights.  A series is one row with arrays.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -15,24 +16,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def loess(y: np.ndarray, span: int, weights: np.ndarray | None = None, ahead: int = 0) -> np.ndarray:
-    """Local linear fit at positions -ahead .. n-1+ahead with tricube weights."""
-    n = len(y)
-    w = np.ones(n) if weights is None else weights
+@lru_cache(maxsize=256)
+def _neighbours(n: int, span: int, ahead: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions -ahead .. n-1+ahead, their nearest points and tricube weights; series of one length share them."""
     at = np.arange(-ahead, n + ahead, dtype=float)
     q = min(span, n)
     left = np.clip(np.floor(at - (q - 1) / 2), 0, n - q).astype(int)
     idx = left[:, None] + np.arange(q)
     d = np.abs(idx - at[:, None])
     h = d.max(axis=1) + max(0, (span - n) / 2)
-    k = np.clip(1 - (d / np.maximum(h, 1e-12)[:, None] / 1.0001) ** 3, 0, None) ** 3 * w[idx]
-    total = k.sum(axis=1)
+    return at, idx, np.clip(1 - (d / np.maximum(h, 1e-12)[:, None] / 1.0001) ** 3, 0, None) ** 3
+
+
+def loess(y: np.ndarray, span: int, weights: np.ndarray | None = None, ahead: int = 0) -> np.ndarray:
+    """Local linear fit at positions -ahead .. n-1+ahead with tricube weights.
+
+    The last axis is time; series before it are smoothed at once."""
+    n = y.shape[-1]
+    w = np.ones(n) if weights is None else weights
+    at, idx, near = _neighbours(n, span, ahead)
+    k = near * w[..., idx]
+    total = k.sum(axis=-1)
     ok = total > 0
-    k = np.where(ok[:, None], k / np.where(ok, total, 1)[:, None], 1.0 / q)
-    mean = (k * idx).sum(axis=1)
-    var = (k * (idx - mean[:, None]) ** 2).sum(axis=1)
-    slope = np.where(var > 1e-9, (k * (idx - mean[:, None]) * y[idx]).sum(axis=1) / np.maximum(var, 1e-9), 0.0)
-    return (k * y[idx]).sum(axis=1) + slope * (at - mean)
+    k = np.where(ok[..., None], k / np.where(ok, total, 1)[..., None], 1.0 / idx.shape[1])
+    mean = (k * idx).sum(axis=-1)
+    off, v = k * (idx - mean[..., None]), y[..., idx]
+    var = (off * (idx - mean[..., None])).sum(axis=-1)
+    slope = np.where(var > 1e-9, (off * v).sum(axis=-1) / np.maximum(var, 1e-9), 0.0)
+    return (k * v).sum(axis=-1) + slope * (at - mean)
 
 
 def stl(y: np.ndarray, period: int, robust: bool = True, seasonal: int = 7, inner: int = 2, outer: int = 15) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -46,9 +57,9 @@ def stl(y: np.ndarray, period: int, robust: bool = True, seasonal: int = 7, inne
         before = trend + season
         for _ in range(inner):
             cycle = np.empty(n + 2 * period)
-            for p in range(period):
-                sub = loess((y - trend)[p::period], seasonal, weights[p::period], ahead=1)
-                cycle[p::period][: len(sub)] = sub
+            for a, z, m in ((0, n % period, n // period + 1), (n % period, period, n // period)):  # subseries of equal length
+                at = np.arange(a, z)[:, None] + period * np.arange(m + 2)
+                cycle[at] = loess((y - trend)[at[:, :m]], seasonal, weights[at[:, :m]], ahead=1)
             low = loess(average(average(average(cycle, period), period), 3), span_l)
             season = cycle[period : period + n] - low
             trend = loess(y - season, span_t, weights)
@@ -91,7 +102,9 @@ def series(daily: DataFrame, keys: list[str], value: str = "kwh", order: str = "
 def decomposed(daily: DataFrame, keys: list[str], period: int = 365, robust: bool = True, log: bool = False, value: str = "kwh") -> DataFrame:
     """``keys, day, value, trend, seasonal, remainder`` of the series with at
     least two periods of values; shorter ones give no rows."""
-    rows = series(daily, keys, value).filter(F.size("values") >= 2 * period)
+    # Few bytes, much work: by a hash of their own, as else the shuffle is dropped for the grouping's, which AQE coalesces.
+    tasks = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = series(daily, keys, value).filter(F.size("values") >= 2 * period).repartition(tasks, F.xxhash64(*keys))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

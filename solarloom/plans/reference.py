@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import dates, naming
-from ..operators import anomaly, decompose, ingest, matching, metrics, profile, quality, reference_day, reshape, selecting
+from ..operators import anomaly, decompose, ingest, matching, metrics, profile, quality, reference_day, reshape, selecting, sizing
 from ..sources import files
 from ..sources.tables import latest_lines, table
 
@@ -200,18 +200,18 @@ def pacf(spark, sf):
 
 @query()
 def stl_decomposition(spark, sf):
-    """Weekly totals of all parks, one series a year apart: period 52."""
-    weeks = energy(spark, sf).groupBy(F.trunc("day", "week").alias("day"), (F.xxhash64("park_id") % 4).alias("group")).agg(F.sum("kwh").alias("kwh"))
-    return decompose.decomposed(weeks, ["group"], period=52)
+    """Weekly totals of each park, weeks without energy as 0: period 52."""
+    weeks = metrics.periods(energy(spark, sf), "week").withColumnRenamed("period", "day")
+    return decompose.decomposed(weeks, ["park_id"], period=52)
 
 
 @query()
 def stl_degradation(spark, sf):
-    """Slope of the trend, scores of the remainder and persistent drops."""
-    parts = stl_decomposition(spark, sf)
-    scored = anomaly.robust_score(parts, "remainder", ["group"]).withColumn("low", F.col("score") < -3)
-    held = anomaly.runs(scored, "low", ["group"], "day").groupBy("group").agg(F.count_if("low").alias("n_low"), F.count_if(F.col("low") & (F.col("run_length") >= 2)).alias("n_persistent"))
-    return metrics.trend(parts, ["group"], "trend").join(held, "group")
+    """Each park's slope of the trend, scores of the remainder and persistent drops."""
+    parts = sizing.checkpointed(stl_decomposition(spark, sf))
+    scored = anomaly.robust_score(parts, "remainder", ["park_id"]).withColumn("low", F.col("score") < -3)
+    held = anomaly.runs(scored, "low", ["park_id"], "day").groupBy("park_id").agg(F.count_if("low").alias("n_low"), F.count_if(F.col("low") & (F.col("run_length") >= 2)).alias("n_persistent"))
+    return metrics.trend(parts, ["park_id"], "trend").join(held, "park_id")
 
 
 # ---- against a typical year ------------------------------------------------

@@ -143,6 +143,28 @@ def test_decomposition_finds_the_slope(spark):
     assert p[1] == pytest.approx(0.7, abs=0.05) and np.abs(p[2:]).max() < 0.06
 
 
+def test_every_park_is_decomposed_alone(spark):
+    q = entry.queries()
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_suppkey", "l_quantity", F.to_date("l_shipdate").alias("day")).toPandas()
+    parts = q["stl_decomposition"](spark, SF).toPandas()
+    assert set(parts["park_id"]) == {f"s{k}" for k in lines["l_suppkey"]}
+    for park, p in parts.groupby("park_id"):
+        own = lines[lines["l_suppkey"] == int(park[1:])]
+        weeks = {}
+        for d, kwh in zip(own["day"], own["l_quantity"]):
+            monday = d - dt.timedelta(d.weekday())
+            weeks[monday] = weeks.get(monday, 0.0) + float(kwh)
+        every = [min(weeks) + dt.timedelta(7 * i) for i in range((max(weeks) - min(weeks)).days // 7 + 1)]
+        y = np.array([weeks.get(w, 0.0) for w in every])
+        p = p.sort_values("day")
+        assert list(p["day"]) == every and np.allclose(p["value"], y) and np.allclose(p["trend"], decompose.stl(y, 52)[0])
+    rates = q["stl_degradation"](spark, SF).toPandas()
+    assert sorted(rates["park_id"]) == sorted(set(parts["park_id"])) and rates[["slope", "r2", "annual_pct", "n_low", "n_persistent"]].notna().all(axis=None)
+    one = parts[parts["park_id"] == "s1"]
+    x = np.array([d.toordinal() for d in one["day"]])
+    assert rates.set_index("park_id").loc["s1", "slope"] == pytest.approx(np.polyfit(x - x.mean(), one["trend"], 1)[0])
+
+
 def test_profiles(spark):
     df = spark.createDataFrame([("a", 0.0), ("a", 10.0), ("a", 5.0), ("b", 3.0), ("b", None)], "k string, v double")
     h = {(r["k"], r["bin"]): r["n"] for r in profile.histogram(df.filter("v is not null"), ["k"], "v", 2).collect()}
