@@ -19,8 +19,6 @@ from .readings import in_common_units
 
 #: Differences of at most this share of the larger value are no contradiction.
 TOLERANCE = 0.001
-#: With more attributes than this, the wide row holds a map instead of columns.
-MOST_COLUMNS = 2_000
 DAILY = r"^(pcc_active_energy_export|pcc_active_energy_import|average_irradiance|availability|soiling_ratio|fault_count|breaker_state|inverter_\d+_energy)$"
 CELL = ["park_id", "interval_start_date", "signal"]
 INTEGRAL = ("fault_count", "breaker_state")
@@ -51,18 +49,19 @@ def contradictory(cells: DataFrame) -> DataFrame:
     return cells.filter(F.col("high") - F.col("low") > TOLERANCE * F.greatest(F.abs("low"), F.abs("high")))
 
 
-def to_wide(cells: DataFrame, most_columns: int = MOST_COLUMNS) -> DataFrame:
+def to_wide(cells: DataFrame, most_columns: int | None = None) -> DataFrame:
     """One row per park and day, one typed column per daily signal (counts and
     states as integers), and ``contradictory``, the sorted names of the cells
-    with contradictory values."""
-    names = [r[0] for r in cells.select("signal").distinct().limit(most_columns + 1).collect()]
+    with contradictory values.  Only a caller that names ``most_columns`` gets
+    a map ``values`` instead of columns beyond that number."""
+    names = [r[0] for r in cells.select("signal").distinct().collect()]
     differs = F.col("high") - F.col("low") > TOLERANCE * F.greatest(F.abs("low"), F.abs("high"))
     marked = cells.select("park_id", F.col("interval_start_date").cast("string").alias("interval_day"), "signal", F.col("version.value").alias("value"), differs.alias("differs"))
     grouped = marked.groupBy("park_id", "interval_day")
     marks = F.sort_array(F.collect_set(F.when(F.col("differs"), F.col("signal")))).alias("contradictory")
     pairs = F.map_from_entries(F.collect_list(F.struct("signal", "value"))).alias("values")
     rows = grouped.agg(marks, pairs)
-    if len(names) > most_columns:
+    if most_columns is not None and len(names) > most_columns:
         return rows
     typed = [F.col("values")[n].cast("bigint" if n in INTEGRAL else "double").alias(n) for n in sorted(names)]
     return rows.select("park_id", "interval_day", *typed, "contradictory")

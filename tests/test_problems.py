@@ -215,6 +215,12 @@ def test_contradictions_and_wide(silver, spark, tmp_path):
     assert cells(store.cells()) == cells(wide.delta(batches)) and len(store.levels) > 1
 
 
+def test_wide_has_columns_at_every_size(silver):
+    rows = [row(0, i, signal=f"inverter_{i:06d}_energy") for i in range(2001)] + [row(0, 2.0, signal="fault_count", unit="num")]
+    kinds = dict(wide.wide_days(silver(rows)).dtypes)
+    assert len(kinds) == 2005 and "values" not in kinds and kinds["fault_count"] == "bigint" and kinds["inverter_002000_energy"] == "double"
+
+
 @pytest.mark.parametrize("empty", [True, False])
 def test_empty_and_all_null_tables(silver, meta, empty):
     df = silver([] if empty else [{}, {}])
