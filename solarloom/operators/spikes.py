@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.kalman import both_ways, repeated, stuck
 from .instants import lag_of, with_instants
-from .readings import capacity_in_name, in_common_units
+from .readings import CommonUnits, Profile, capacity_in_name, described_rows
 from .sizing import bucket_count, bucket_of, checked_side
 
 #: Readings per bucket, readings of one source per tile, and days of tile and halo.
@@ -130,13 +130,16 @@ def judge_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"ingest_key": pdf["key"].to_numpy()[flagged & pdf["core"].to_numpy(bool)]})
 
 
-def dense_sources(rows: DataFrame) -> DataFrame:
-    """source -> ``_len``: tile length (s) of the sources with so many readings
-    that a tile of ``TILE_DAYS`` would hold more than ``TILE_ROWS``."""
-    day = F.unix_date("interval_start_date")
-    dense = rows.groupBy(F.xxhash64("park_id", "signal").alias("source")).agg(F.count("*").alias("_n"), ((F.max(day) - F.min(day) + 1) * 86400.0).alias("_span"))
-    dense = dense.filter((F.col("_n") > TILE_ROWS) & (F.col("_n") * (TILE_DAYS * 86400.0) > F.col("_span") * float(TILE_ROWS)))
-    return dense.select("source", F.greatest(F.lit(3600), (F.col("_span") * TILE_ROWS / F.col("_n"))).cast("long").alias("_len"))
+def dense_sources(profile: Profile) -> DataFrame:
+    """source -> ``_len``: tile length (s) of the sources whose busiest month
+    would put more than ``TILE_ROWS`` readings into a tile of ``TILE_DAYS``.
+
+    Taken from the profile's counts; the table is not read again."""
+    groups = described_rows(profile.groups.filter("park_id is not null and _month is not null"), profile.names, profile.n_names)
+    months = groups.groupBy(F.xxhash64("park_id", "signal").alias("source"), "_month").agg(F.sum("_rows").alias("_n"))
+    most = months.groupBy("source").agg(F.max("_n").alias("_n"))
+    length = F.lit(30 * 86400.0 * TILE_ROWS) / F.col("_n")
+    return most.filter(length < TILE_DAYS * 86400).select("source", F.greatest(F.lit(3600), length).cast("long").alias("_len"))
 
 
 def tiled(rows: DataFrame, dense: DataFrame) -> DataFrame:
@@ -161,8 +164,9 @@ def implausible_keys(silver: DataFrame, park_metadata: DataFrame) -> DataFrame:
     """
     judged = F.col("is_reading") & F.col("kind").isNotNull() & F.col("ingest_key").isNotNull()
     columns = ["ingest_key", "park_id", "interval_start_date", "ts_local", "park_capacity_kwp"]
-    rows = in_common_units(silver, columns, keep=judged, kind=kind_of(F.col("signal")), lag=lag_of(F.col("signal")))
-    dense = checked_side(dense_sources(rows))
+    units = CommonUnits(silver)
+    rows = units.rows(columns, keep=judged, kind=kind_of(F.col("signal")), lag=lag_of(F.col("signal")))
+    dense = checked_side(dense_sources(units.profile))
     rows = with_instants(rows, park_metadata, "lag")
     us = F.coalesce("instant.first_us", (F.unix_date("interval_start_date") + 1) * F.lit(86_400_000_000))
     kwp = F.coalesce(F.when(F.col("park_capacity_kwp") > 0, F.col("park_capacity_kwp")), capacity_in_name(), F.lit(0.0))
@@ -175,7 +179,8 @@ def implausible_keys(silver: DataFrame, park_metadata: DataFrame) -> DataFrame:
         "kind",
         F.col("ingest_key").alias("key"),
     )
-    n = bucket_count(silver.count(), ROWS)
+    n = bucket_count(units.profile.n_rows, ROWS)
     rows = tiled(rows, dense)
-    rows = rows.withColumn("bucket", bucket_of(n, "source", "tile"))
+    # A task a bucket: as many tasks as the rows ask for, whatever the session's number of partitions.
+    rows = rows.withColumn("bucket", bucket_of(n, "source", "tile")).repartition(n, "bucket")
     return rows.groupBy("bucket").applyInPandas(lambda pdf: judge_bucket(pdf), "ingest_key string").distinct()

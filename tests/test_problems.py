@@ -226,3 +226,18 @@ def test_empty_and_all_null_tables(silver, meta, empty):
     df = silver([] if empty else [{}, {}])
     for out in (rolling.idle_windows(df), rolling.rolling_energy(df), gridding.regular_series(df), gridding.missing_days(df), spikes.implausible_keys(df, meta([])), instants.corrected_instants(df, meta([])), wide.contradictions(df), wide.wide_days(df)):
         assert out.count() == 0
+
+
+def test_own_noise_is_told_from_innovations():
+    rng = np.random.default_rng(8)
+    z = rng.normal(0, 1, (3, 400))
+    z[1] *= 3
+    z[0, ::50] = 40.0  # spikes do not make a source noisy
+    mask = np.ones(z.shape, bool)
+    mask[2] = False
+    from solarloom.functions.kalman import innovation_variance, noise_factors
+
+    f = noise_factors(z, mask)
+    assert f[0] == 1.0 and 1.8 < f[1] <= 3.2 and f[2] == 1.0
+    v = innovation_variance(np.array([0, 1, 2, 3, 4, 5, 7, 8]), np.array([2.0, 2, 2, 2, 2, 3, 3, 3]), 5)
+    assert v[4] == 0 and 0 < v[5] < np.inf and np.isinf(v[[0, 3, 6, 7]]).all()
