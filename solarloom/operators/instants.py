@@ -39,16 +39,17 @@ def lag_of(signal: Column) -> Column:
     return F.when(within_day(signal), F.lit(0)).otherwise(F.lit(1))
 
 
-def with_instants(df: DataFrame, park_metadata: DataFrame, lag: str | None = None) -> DataFrame:
+def with_instants(df: DataFrame, park_metadata: DataFrame | None, lag: str | None = None, zones: DataFrame | None = None) -> DataFrame:
     """Add ``_zone`` and ``instant``: struct of ``first_us`` and ``last_us`` (UTC microseconds).
 
     They differ only for a wall time that occurs twice; both are null for a
     text that is null or no time.  ``df`` needs ``ts_local``,
     ``interval_start_date``, ``park_id`` and ``lag``, a column that is 0 for
     signals stamped within the day and else 1, or ``signal_name``.  A text without
-    zone is wall time in the park's zone, of the park's last metadata line.
+    zone is wall time in the park's zone, of the park's last metadata line;
+    ``zones`` (of ``park_zones``) saves finding these again.
     """
-    df = df.join(checked_side(park_zones(park_metadata)), "park_id", "left")
+    df = df.join(checked_side(park_zones(park_metadata)) if zones is None else zones, "park_id", "left")
     zone = F.coalesce("_zone", F.lit(DEFAULT_ZONE))
     day = F.unix_date(F.col("interval_start_date"))
     lag = F.col(lag) if lag else lag_of(F.lower(F.trim("signal_name")))

@@ -5,23 +5,39 @@ from __future__ import annotations
 import math
 import tempfile
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side is broadcast only when it was counted and has at most so many rows.
 BROADCAST_ROWS = 100_000
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage in the shared folder that the cluster names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` of the session is used; only where it is unset (as
-    in tests) a folder of our own is made.
+    Only in local mode, where it may be unset (as in tests), a folder of our own
+    is made; on a cluster other machines could not see it, so that is an error.
     """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    sc = spark.sparkContext
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    if _OWN.get(sc.applicationId) is None:
+        _OWN[sc.applicationId] = tempfile.mkdtemp(prefix="solarloom-")
+    return _OWN[sc.applicationId]
+
+
+_OWN: dict[str, str] = {}
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut lineage in the shared folder."""
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="solarloom-"))
+        sc.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
 
 
