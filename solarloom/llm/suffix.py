@@ -1,18 +1,44 @@
-"""Suffix arrays over concatenated word texts, in immutable segments.
-
-A text is a sequence of 64-bit words; the texts of a segment are concatenated
-and all their suffixes are sorted (a suffix ends with its text).  A segment
-keeps, for each depth, the sorted distinct prefixes as pairs of (prefix of one
-word less, word), so that the binary search of many substrings is one
-``searchsorted`` a word.  Segments are merged when two have about the same
-size, so that n batches leave log n segments.
+"""Sparse suffix arrays of a batch's text, as immutable files, merged logarithmically.
+
+A record is ``WORDS`` words of 64 bits and a value; the text of a batch is the
+concatenation of its records.  A match must cover a whole record, so only
+suffixes at which a record begins can start one: the array holds these in
+sorted order (a sparse suffix array), each with its first words and the
+record's value as one byte string that sorts like them, and the earliest run
+that has it.  Records that differ only in their run are one entry.
+
+Searching is one binary search for each end of a range; over a mapped file it
+reads the pages that it probes, some log(n) for a record, and not the array.
 """
 
 from __future__ import annotations
 
+import json
+import os
+import uuid
+from collections.abc import Iterable, Iterator
+
 import numpy as np
+from pyarrow import fs
+
+WORDS = 3
+WIDTH = 8 * (WORDS + 1)
+#: Entries that a merge holds at a time.
+STEP = 500_000
 
-TOP = np.iinfo(np.int64).max
+
+def sortable(value: np.ndarray) -> np.ndarray:
+    """Doubles as unsigned integers of the same order."""
+    bits = (np.asarray(value, np.float64) + 0.0).view(np.uint64)
+    return np.where(bits >> np.uint64(63) == 1, ~bits, bits | np.uint64(1 << 63))
+
+
+def suffix_keys(words: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Byte strings that compare like (words, value)."""
+    out = np.empty((len(words), WORDS + 1), ">u8")
+    out[:, :WORDS] = words.astype(np.int64).view(np.uint64).reshape(-1, WORDS)
+    out[:, WORDS] = sortable(value)
+    return out.reshape(-1).view(f"S{WIDTH}")
 
 
 class RangeMin:
@@ -27,147 +53,157 @@ class RangeMin:
             step *= 2
 
     def query(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-        """Minimum of values[lo:hi]; TOP where the range is empty."""
-        out = np.full(len(lo), TOP)
+        """Minimum of values[lo:hi] of ranges that are not empty."""
         n = hi - lo
-        ok = n > 0
-        level = np.zeros(len(lo), np.int64)
-        level[ok] = np.log2(n[ok]).astype(np.int64)
-        for k in np.unique(level[ok]):
-            w = np.flatnonzero(ok & (level == k))
+        level = np.log2(n).astype(np.int64)
+        out = np.empty(len(lo), self.levels[0].dtype)
+        for k in np.unique(level):
+            w = np.flatnonzero(level == k)
             out[w] = np.minimum(self.levels[k][lo[w]], self.levels[k][hi[w] - (1 << k)])
         return out
 
 
-class Segment:
-    """Immutable suffix array of a set of texts.
-
-    ``words`` are the concatenated texts, ``offsets`` their bounds; each text
-    carries a ``value`` and an ``order`` (of arrival).  ``depth`` is the length
-    of the matches that are searched; shorter texts are searched whole.
-    """
-
-    def __init__(self, words: np.ndarray, offsets: np.ndarray, value: np.ndarray, order: np.ndarray, depth: int):
-        self.words, self.offsets, self.value, self.order, self.depth = words, offsets, value, order, depth
-        n = len(words)
-        length = np.diff(offsets)
-        text = np.repeat(np.arange(len(length)), length)
-        ends = offsets[1:][text] if n else offsets[:0]
-        self.vocabulary = np.unique(words)
-        ids = np.searchsorted(self.vocabulary, words) + 1  # 0: the text has ended
-        pos = np.arange(n)
-        prefix = np.zeros(n, np.int64)
-        self.steps: list[tuple[np.ndarray, int]] = []
-        for d in range(depth):
-            at = pos + d
-            inside = at < ends
-            word = np.where(inside, ids[np.minimum(at, max(n - 1, 0))] if n else 0, 0)
-            key = prefix * (len(self.vocabulary) + 1) + word
-            keys, prefix = np.unique(key, return_inverse=True)
-            self.steps.append(keys)
-        self.n_prefixes = len(keys) if n else 0
-        self.suffixes = np.lexsort((self.value[text], prefix)) if n else pos  # suffix array, ties by value
-        self.rank = prefix[self.suffixes] if n else prefix
-        whole = (pos == offsets[:-1][text]) & (length[text] <= depth) if n else np.zeros(0, bool)
-        # Whole texts of at most ``depth`` words, by (prefix, value), with the earliest order.
-        sa = self.suffixes[whole[self.suffixes]] if n else pos
-        self.text_rank, self.text_value = prefix[sa], self.value[text[sa]] if n else self.value
-        self.earliest = RangeMin(self.order[text[sa]] if n else self.order)
+class SuffixArray:
+    """Immutable; ``keys`` sorted and distinct, ``order`` of each the number of
+    its earliest run in ``runs``, which are sorted byte strings."""
+
+    def __init__(self, keys: np.ndarray, order: np.ndarray, runs: np.ndarray):
+        self.keys, self.order, self.runs = keys, order, runs
 
     def __len__(self) -> int:
-        return len(self.offsets) - 1
-
-    def search(self, words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Prefix number of the substring at each position (``depth`` words, or
-        to the end of its text); -1 where no suffix of the segment starts so."""
-        n = len(words)
-        length = np.diff(offsets)
-        ends = np.repeat(offsets[1:], length)
-        if not n or not self.n_prefixes:
-            return np.full(n, -1, np.int64)
-        at = np.minimum(np.searchsorted(self.vocabulary, words), len(self.vocabulary) - 1)
-        ids = np.where(self.vocabulary[at] == words, at + 1, -1)
-        pos, found = np.arange(n), np.zeros(n, np.int64)
-        for d, keys in enumerate(self.steps):
-            inside = pos + d < ends
-            word = np.where(inside, ids[np.minimum(pos + d, n - 1)], 0)
-            key = found * (len(self.vocabulary) + 1) + word
-            k = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            found = np.where((found >= 0) & (word >= 0) & (keys[k] == key), k, -1)
-        return found
-
-    def coverage(self, words: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Share of each text's words inside a match, and the prefix number of its first match."""
-        found = self.search(words, offsets)
-        length = np.diff(offsets)
-        span = np.minimum(np.repeat(offsets[1:], length) - np.arange(len(words)), self.depth)
-        hit = (found >= 0) & (span == np.minimum(self.depth, np.repeat(length, length)))
-        change = np.zeros(len(words) + 1, np.int64)
-        np.add.at(change, np.flatnonzero(hit), 1)
-        np.add.at(change, np.flatnonzero(hit) + span[hit], -1)
-        covered = np.cumsum(change[:-1]) > 0
-        total = np.add.reduceat(np.r_[covered, False].astype(np.int64), offsets[:-1]) if len(length) else np.zeros(0)
-        first = np.where(length > 0, found[np.minimum(offsets[:-1], max(len(words) - 1, 0))] if len(words) else -1, -1)
-        return np.where(length > 0, total / np.maximum(length, 1), 0.0), first
-
-    def earliest_like(self, rank: np.ndarray, value: np.ndarray, tolerance: float) -> np.ndarray:
-        """Earliest order of a whole text with this prefix and a value within
-        ``tolerance`` (share of the larger); TOP if there is none."""
+        return len(self.keys)
+
+    @staticmethod
+    def of(keys: np.ndarray, run: np.ndarray) -> SuffixArray:
+        """From the keys of records and their runs (byte strings)."""
+        runs, order = np.unique(run, return_inverse=True)
+        return SuffixArray(*_sorted(keys, order.astype(np.int32)), runs)
+
+    def covered(self, keys: np.ndarray) -> np.ndarray:
+        """Share of each record's words that its longest match covers."""
+        if not len(self):
+            return np.zeros(len(keys))
+        words = lambda k: np.ascontiguousarray(k).view(">u8").reshape(-1, WORDS + 1)[:, :WORDS]
+        own, at = words(keys), np.searchsorted(self.keys, keys)
+        best = np.zeros(len(keys), np.int64)
+        for near in (at - 1, at):  # the longest match is with a neighbour in the array
+            same = own == words(self.keys[np.clip(near, 0, len(self) - 1)])
+            best = np.maximum(best, np.where((near >= 0) & (near < len(self)), np.cumprod(same, axis=1).sum(axis=1), 0))
+        return best / WORDS
+
+    def earliest(self, words: np.ndarray, value: np.ndarray, tolerance: float) -> np.ndarray:
+        """Earliest run of a record with all these words and a value within
+        ``tolerance`` (share of the larger); b"" where there is none."""
+        out = np.zeros(len(words), self.runs.dtype if self.runs.dtype.itemsize else "S1")
+        if not len(self) or not len(words):
+            return out
         wide = 1.0 - tolerance * (1 + 1e-9)
         a, b = np.where(value >= 0, value * wide, value / wide), np.where(value >= 0, value / wide, value * wide)
-        return self.earliest.query(self._bound(rank, a, "left"), self._bound(rank, b, "right"))
-
-    def _bound(self, rank: np.ndarray, value: np.ndarray, side: str) -> np.ndarray:
-        """Lexicographic searchsorted of (rank, value) pairs."""
-        lo, hi = np.searchsorted(self.text_rank, rank, "left"), np.searchsorted(self.text_rank, rank, "right")
-        while True:
-            open_ = lo < hi
-            if not open_.any():
-                return lo
-            mid = (lo + hi) // 2
-            v = self.text_value[np.minimum(mid, max(len(self.text_value) - 1, 0))]
-            right = (v < value) if side == "left" else (v <= value)
-            lo, hi = np.where(open_ & right, mid + 1, lo), np.where(open_ & ~right, mid, hi)
-
-
-def merged(a: Segment, b: Segment) -> Segment:
-    return Segment(np.concatenate([a.words, b.words]), np.concatenate([a.offsets, b.offsets[1:] + a.offsets[-1]]), np.concatenate([a.value, b.value]), np.concatenate([a.order, b.order]), a.depth)
-
-
-class Segments:
-    """History as a logarithmic number of immutable segments."""
-
-    def __init__(self):
-        self.parts: list[Segment] = []
-
-    def add(self, segment: Segment) -> None:
-        self.parts.append(segment)
-        while len(self.parts) > 1 and len(self.parts[-1]) * 2 > len(self.parts[-2]):
-            b, a = self.parts.pop(), self.parts.pop()
-            self.parts.append(merged(a, b))
+        lo, hi = np.searchsorted(self.keys, suffix_keys(words, a), "left"), np.searchsorted(self.keys, suffix_keys(words, b), "right")
+        hit = np.flatnonzero(hi > lo)
+        if not len(hit):
+            return out
+        lo, hi = lo[hit], hi[hit]
+        if (hi - lo).sum() <= 64 * len(hit):  # short ranges: only their own entries are read
+            ends = np.cumsum(hi - lo)
+            at = np.arange(ends[-1]) - np.repeat(ends - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)
+            first = np.minimum.reduceat(self.order[at], np.r_[0, ends[:-1]])
+        else:
+            a, z = int(lo.min()), int(hi.max())
+            first = RangeMin(np.asarray(self.order[a:z])).query(lo - a, hi - a)
+        out[hit] = self.runs[first]
+        return out
 
+    def write(self, path: str) -> None:
+        _write(path, [(self.keys, self.order)], self.runs)
 
-def first_seen(words: np.ndarray, offsets: np.ndarray, value: np.ndarray, order: np.ndarray, depth: int, tolerance: float, least_coverage: float, batch: int) -> np.ndarray:
-    """For each text the earliest order of a text that it repeats (its own if none).
 
-    Texts arrive in batches of about ``batch`` in the order given; each batch
-    is searched in the segments of all earlier batches and in its own, and then
-    becomes a segment.
-    """
-    out = order.copy()
+def _sorted(keys: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     by = np.argsort(order, kind="stable")
-    history = Segments()
-    for at in range(0, len(by), batch):
-        rows = by[at : at + batch]
-        length = offsets[rows + 1] - offsets[rows]
-        bounds = np.r_[0, np.cumsum(length)]
-        take = np.repeat(offsets[rows] - bounds[:-1], length) + np.arange(bounds[-1])
-        own = Segment(words[take], bounds, value[rows], order[rows], depth)
-        for segment in [*history.parts, own]:
-            share, rank = segment.coverage(own.words, bounds)
-            like = share >= least_coverage
-            first = np.full(len(rows), TOP)
-            first[like] = segment.earliest_like(rank[like], value[rows][like], tolerance)
-            out[rows] = np.minimum(out[rows], first)
-        history.add(own)
-    return out
+    by = by[np.argsort(keys[by], kind="stable")]
+    keys, order = keys[by], order[by]
+    first = np.r_[True, keys[1:] != keys[:-1]] if len(keys) else np.zeros(0, bool)
+    return keys[first], order[first]
+
+
+def merged(parts: list[SuffixArray], step: int = STEP) -> tuple[Iterator[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """Chunks of the merged array, and its runs.  A chunk holds the entries
+    between two split keys, some ``step`` of each part."""
+    widest = max([p.runs.dtype.itemsize for p in parts] + [1])
+    runs = np.unique(np.concatenate([p.runs.astype(f"S{widest}") for p in parts])) if parts else np.zeros(0, "S1")
+    renumber = [np.searchsorted(runs, p.runs.astype(f"S{widest}")).astype(np.int32) for p in parts]
+    splits = np.unique(np.concatenate([np.asarray(p.keys[step::step]) for p in parts])) if parts else []
+
+    def chunks():
+        at = [0] * len(parts)
+        for k in range(len(splits) + 1):
+            to = [int(np.searchsorted(p.keys, splits[k : k + 1])[0]) if k < len(splits) else len(p) for p in parts]
+            keys = [np.asarray(p.keys[a:z]) for p, a, z in zip(parts, at, to)]
+            order = [r[p.order[a:z]] for p, r, a, z in zip(parts, renumber, at, to)]
+            yield _sorted(np.concatenate(keys), np.concatenate(order))
+            at = to
+
+    return chunks(), runs
+
+
+def write_merged(path: str, parts: list[SuffixArray]) -> None:
+    chunks, runs = merged(parts)
+    _write(path, chunks, runs)
+
+
+def located(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and path; Hadoop's ``file:/x`` is a local path."""
+    if path.startswith("file:"):
+        path = "/" + path[5:].lstrip("/")
+    return (fs.LocalFileSystem(), path) if "://" not in path else fs.FileSystem.from_uri(path)
+
+
+def _write(path: str, chunks: Iterable[tuple[np.ndarray, np.ndarray]], runs: np.ndarray) -> None:
+    """Keys, orders, runs and a footer; the file appears whole or not at all,
+    and a repeated task writes the same file again."""
+    at, name = located(path)
+    at.create_dir(os.path.dirname(name), recursive=True)
+    part, orders, n = f"{name}.{uuid.uuid4().hex}.part", [], 0
+    with at.open_output_stream(part) as out:
+        for keys, order in chunks:
+            out.write(np.ascontiguousarray(keys).tobytes())
+            orders.append(np.ascontiguousarray(order, np.int32))
+            n += len(keys)
+        for order in orders:
+            out.write(order.tobytes())
+        out.write(np.ascontiguousarray(runs).tobytes())
+        footer = json.dumps({"n": n, "runs": len(runs), "width": runs.dtype.itemsize}).encode()
+        out.write(footer + len(footer).to_bytes(8, "big"))
+    at.move(part, name)
+
+
+def read(path: str) -> SuffixArray:
+    """The array of a file; a local one is mapped, not read."""
+    at, name = located(path)
+    if isinstance(at, fs.LocalFileSystem):
+        data = np.memmap(name, np.uint8, "r")
+    else:
+        with at.open_input_file(name) as f:
+            data = np.frombuffer(f.read(), np.uint8)
+    end = len(data) - 8
+    size = int.from_bytes(data[end:].tobytes(), "big")
+    about = json.loads(data[end - size : end].tobytes())
+    n, a = about["n"], about["n"] * WIDTH
+    b = a + 4 * n
+    return SuffixArray(data[:a].view(f"S{WIDTH}"), data[a:b].view(np.int32), data[b : b + about["runs"] * about["width"]].view(f"S{max(1, about['width'])}"))
+
+
+def files_of(folder: str, segments: set[int]) -> list[str]:
+    """Files ``<segment>.<part>.sa`` of the named segments in a shard's folder."""
+    at, name = located(folder)
+    found = at.get_file_info(fs.FileSelector(name, allow_not_found=True))
+    own = [f.base_name for f in found if f.base_name.endswith(".sa") and int(f.base_name.split(".")[0]) in segments]
+    return [f"{folder}/{n}" for n in sorted(own)]
+
+
+def remove(path: str) -> None:
+    at, name = located(path)
+    if at.get_file_info(name).type == fs.FileType.Directory:
+        at.delete_dir(name)
+    elif at.get_file_info(name).type == fs.FileType.File:
+        at.delete_file(name)

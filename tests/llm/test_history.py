@@ -1,55 +1,72 @@
 import datetime as dt
+import os
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from solarloom.llm import history
-from solarloom.llm.suffix import TOP, RangeMin, Segment, Segments, first_seen
+from solarloom.llm import history, suffix
+from solarloom.llm.suffix import RangeMin, SuffixArray, suffix_keys
 
 TOL = 0.001
-
-
-@given(st.lists(st.tuples(st.lists(st.integers(0, 3), min_size=1, max_size=3), st.sampled_from([0.0, 1.0, 1.0005, 1.002, -1.0, -1.0005, 50.0]), st.integers(0, 6)), min_size=1, max_size=30), st.integers(1, 9))
-@settings(max_examples=200, deadline=None)
-def test_first_seen_against_brute_force(records, batch):
-    words = np.array([w for r in records for w in r[0]], np.int64)
-    offsets = np.r_[0, np.cumsum([len(r[0]) for r in records])]
-    value, order = np.array([r[1] for r in records]), np.array([r[2] for r in records], np.int64)
-    got = first_seen(words, offsets, value, order, 3, TOL, 1.0, batch)
-    for i, (t, v, o) in enumerate(records):
-        like = [q for s, u, q in records if s == t and abs(u - v) <= TOL * max(abs(u), abs(v)) and q <= o]
-        assert got[i] == min(like)
-
-
-@given(st.lists(st.lists(st.integers(0, 4), min_size=1, max_size=12), min_size=1, max_size=8), st.lists(st.integers(0, 5), min_size=1, max_size=12), st.integers(1, 4))
-@settings(max_examples=200, deadline=None)
-def test_coverage_against_brute_force(texts, query, depth):
-    seg = Segment(np.concatenate([np.array(t, np.int64) for t in texts]), np.r_[0, np.cumsum([len(t) for t in texts])], np.zeros(len(texts)), np.arange(len(texts)), depth)
-    share, _ = seg.coverage(np.array(query, np.int64), np.array([0, len(query)]))
-    span = min(depth, len(query))
-    subs = {tuple(t[i : i + span]) for t in texts for i in range(len(t) - span + 1)} if len(query) >= depth else {tuple(t[i:]) for t in texts for i in range(len(t)) if len(t) - i == span}
-    covered = set()
-    for i in range(len(query) - span + 1):
-        if tuple(query[i : i + span]) in subs:
-            covered |= set(range(i, i + span))
-    assert share[0] == pytest.approx(len(covered) / len(query))
-
-
-def test_segments_stay_few():
-    s = Segments()
-    for i in range(100):
-        s.add(Segment(np.array([i, i + 1]), np.array([0, 2]), np.zeros(1), np.array([i]), 2))
-    assert len(s.parts) <= 8 and sum(map(len, s.parts)) == 100
+VALUES = [0.0, 1.0, 1.0005, 1.002, -1.0, -1.0005, 50.0]
+RECORDS = st.lists(st.tuples(st.tuples(*[st.integers(-2, 2)] * 3), st.sampled_from(VALUES), st.integers(0, 12)), max_size=30)
+
+
+def arrays(records):
+    return np.array([r[0] for r in records], np.int64).reshape(-1, 3), np.array([r[1] for r in records], float), np.array([f"r{r[2]:02d}".encode() for r in records] or [b""])[: len(records)]
+
+
+@given(st.lists(RECORDS, min_size=1, max_size=4), RECORDS)
+@settings(max_examples=100, deadline=None)
+def test_search_and_merge_against_brute_force(tmp_path_factory, batches, queries):
+    folder = str(tmp_path_factory.mktemp("sa"))
+    parts = []
+    for i, b in enumerate(batches):
+        words, value, run = arrays(b)
+        SuffixArray.of(suffix_keys(words, value), run).write(f"{folder}/{i:06d}.0.sa")
+        parts.append(suffix.read(f"{folder}/{i:06d}.0.sa"))
+    chunks, runs = suffix.merged(parts, step=3)
+    suffix._write(f"{folder}/000009.0.sa", chunks, runs)
+    whole = suffix.read(suffix.files_of(folder, {9})[0])
+    records = [r for b in batches for r in b]
+    assert len(whole) == len({r[:2] for r in records}) and list(whole.keys) == sorted(whole.keys)
+    words, value, _ = arrays(queries)
+    got, covered = whole.earliest(words, value, TOL), whole.covered(suffix_keys(words, value))
+    for i, (w, v, _) in enumerate(queries):
+        like = [r for x, u, r in records if x == w and abs(u - v) <= TOL * max(abs(u), abs(v))]
+        assert got[i] == (f"r{min(like):02d}".encode() if like else b"")
+        common = [next((k for k in range(3) if x[k] != w[k]), 3) for x, _, _ in records]
+        assert covered[i] == pytest.approx(max(common, default=0) / 3)
+
+
+def test_a_search_reads_some_pages_of_a_mapped_file(tmp_path):
+    """What a small batch reads grows with the logarithm of the history only."""
+    path, n = str(tmp_path / "000001.0.sa"), 2_000_000
+    words = np.repeat(np.arange(n)[:, None], 3, axis=1)
+    SuffixArray(suffix_keys(words, np.zeros(n)), np.zeros(n, np.int32), np.array([b"r"])).write(path)
+    array = suffix.read(path)
+    assert isinstance(array.keys, np.memmap) and array.earliest(words[[5, n // 3, n - 1]], np.zeros(3), TOL).tolist() == [b"r"] * 3
+    resident = lambda: sum(int(line.split()[1]) for line in block(path) if line.startswith("Rss:"))
+    assert resident() * 1024 < os.path.getsize(path) / 2  # the kernel maps neighbours of a probed page as well
+
+
+def block(path):
+    """Lines of the process's map of a file."""
+    inside = False
+    for line in open("/proc/self/smaps"):
+        if "-" in line.split()[0] and ":" not in line.split()[0]:
+            inside = line.rstrip().endswith(path)
+        if inside:
+            yield line
 
 
 def test_range_minimum():
     v = np.array([5, 3, 8, 1, 9])
-    r = RangeMin(v)
-    lo, hi = np.meshgrid(range(6), range(6))
-    got = r.query(lo.ravel(), hi.ravel())
-    assert [TOP if a >= b else v[a:b].min() for a, b in zip(lo.ravel(), hi.ravel())] == got.tolist()
+    pairs = [(a, b) for a in range(6) for b in range(a + 1, 6)]
+    got = RangeMin(v).query(np.array([a for a, _ in pairs]), np.array([b for _, b in pairs]))
+    assert [v[a:b].min() for a, b in pairs] == got.tolist()
 
 
 def row(key, run, value=250.0, ts="2024-05-02 00:00:00", park="p_100_kwp_x", signal="pcc_active_energy_export", unit="kwh", day=dt.date(2024, 5, 1)):
@@ -69,7 +86,7 @@ def test_repeats(silver, meta):
 
 def test_a_hot_reading_and_small_buckets(silver, meta, monkeypatch):
     monkeypatch.setattr(history, "ROWS", 20)
-    monkeypatch.setattr(history, "BATCH", 7)
+    monkeypatch.setattr(history, "HOT", 40)
     rows = [row(f"k{i}", f"r{i:03d}", 100.0 * 1.0004 ** (i % 40)) for i in range(200)]
     got = {tuple(r) for r in history.repeats(silver(rows), meta([])).collect()}
     want = set()
@@ -79,21 +96,41 @@ def test_a_hot_reading_and_small_buckets(silver, meta, monkeypatch):
     assert got == want
 
 
-def test_batches_as_they_come(spark, silver, meta, tmp_path):
+def accepted(kept, spark, silver, meta, batches):
+    """Batches one by one, the history resumed from its state each time."""
+    got = set()
+    for rows in batches:
+        got |= {tuple(r) for r in kept.accept(silver(rows), meta([])).collect()}
+        kept = history.AcceptedHistory(spark, kept.folder, kept.shards, kept.live)
+    return got, kept
+
+
+@pytest.mark.parametrize("hot", [10**6, 8])
+def test_batches_as_they_come(spark, silver, meta, tmp_path, monkeypatch, hot):
+    monkeypatch.setattr(history, "HOT", hot)
+    monkeypatch.setattr(history, "ROWS", min(hot, 60_000) // 2)
     rng = np.random.default_rng(5)
     rows = [row(f"k{rng.integers(60)}", f"r{run:02d}", float(rng.choice([100.0, 100.05, 102.0])), f"2024-0{m}-02 00:00:00", day=dt.date(2024, m, 1)) for run in range(9) for m in rng.integers(1, 5, 12).tolist()]
     rows = list({(r["ingest_key"], r["run_id"]): r for r in rows}.values())
-    first = {}
-    for r in rows:  # rows with one key are copies of one row
-        r.update({k: v for k, v in first.setdefault(r["ingest_key"], r).items() if k != "run_id"})
-    kept = history.AcceptedHistory(spark, str(tmp_path), fanout=3)
-    got = set()
-    for a, b in ((0, 1), (1, 4), (4, 5), (5, 9)):
-        batch = [r for r in rows if f"r{a:02d}" <= r["run_id"] < f"r{b:02d}"]
-        got |= {tuple(r) for r in kept.accept(silver(batch), meta([])).collect()}
-        kept = history.AcceptedHistory(spark, str(tmp_path), fanout=3, levels=kept.levels)
-    assert got == {tuple(r) for r in history.repeats(silver(rows), meta([])).collect()} and got
-    assert sum(map(len, kept.levels)) < 4
+    batches = [[r for r in rows if f"r{a:02d}" <= r["run_id"] < f"r{b:02d}"] for a, b in ((0, 1), (1, 4), (4, 5), (5, 9))]
+    got, kept = accepted(history.AcceptedHistory(spark, str(tmp_path), 3), spark, silver, meta, batches)
+    want = set()
+    for r in rows:
+        like = lambda q: q["ingest_key"] == r["ingest_key"] or (q["ts_local"] == r["ts_local"] and abs(q["value"] - r["value"]) <= TOL * max(q["value"], r["value"]))  # noqa: E731, B023
+        if any(q["run_id"] < r["run_id"] and like(q) for q in rows):
+            want.add((r["ingest_key"], r["run_id"]))
+    assert got == want and got
+    assert got == {tuple(r) for r in history.repeats(silver(rows), meta([])).collect()}
+    files = [f for _, _, names in os.walk(tmp_path) for f in names if f.endswith(".sa")]
+    assert len(kept.live) == 1 and {int(f.split(".")[0]) for f in files} == {n for n, _ in kept.live}
+
+
+def test_a_copy_booked_on_another_day_is_found(spark, silver, meta, tmp_path):
+    """Links that partitions by booking date would lose."""
+    other = {"day": dt.date(2024, 4, 30)}
+    batches = [[row("x", "r1", **other), row("z", "r1", ts="2024-06-02 00:00:00", day=dt.date(2024, 6, 1))], [row("y", "r2"), row("z", "r2", ts="2024-06-02 00:00:00", day=None)], []]
+    got, _ = accepted(history.AcceptedHistory(spark, str(tmp_path), 5), spark, silver, meta, batches)
+    assert got == {("y", "r2"), ("z", "r2")} == {tuple(r) for r in history.repeats(silver(sum(batches, [])), meta([])).collect()}
 
 
 def test_empty(silver, meta):
