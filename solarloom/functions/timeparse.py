@@ -6,8 +6,9 @@ of a batch is mapped to a parser once (and kept for the life of the worker);
 the parser is a list of byte ranges, so all texts of one mask are converted by
 array arithmetic, and wall times go through compiled zone transition tables.
 
-Results for odd cases: null, empty, over-long (more than 48 bytes) and
-unrecognised texts, and texts whose fields are out of range, give null.
+Results for odd cases: null, empty and unrecognised texts, and texts whose
+fields are out of range, give null.  Texts may have any length; those of about
+one length are converted together, so a very long one costs only its own bytes.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 
-from .zones import ABBREVIATIONS, DEFAULT_ZONE, resolve_zone, zone_table
+from .zones import ABBREVIATIONS, DEFAULT_ZONE, ZoneTables, compiled, resolve_zone
 
 WIDTH = 48
 _MONTHS = {m: i + 1 for i, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split())}
@@ -29,14 +30,14 @@ _CLASS[ord("A") : ord("Z") + 1] = ord("A")
 _CLASS[ord("a") : ord("z") + 1] = ord("a")
 
 _DATE = (
-    r"(?P<ymd>9999(?P<s1>[-/.])99(?P=s1)99)|(?P<dmy>99(?P<s2>[-/.])99(?P=s2)(?:9999|99))"
-    r"|(?P<mon>99[- ][Aa][Aa]{2}[- ]9999)|(?P<packed>99999999)"
+    r"(?P<ymd>(?P<y1>9999)(?P<s1>[-/.])(?P<m1>99?)(?P=s1)(?P<d1>99?))|(?P<dmy>(?P<a>99?)(?P<s2>[-/.])(?P<b>99?)(?P=s2)(?P<y2>9999|99))"
+    r"|(?P<mon>(?P<d3>99?)[- ](?P<m3>[Aa][Aa]{2})[- ](?P<y3>9999))|(?P<packed>(?P<y4>9999)(?P<m4>99)(?P<d4>99))"
 )
-_TIME = r"(?P<time>99:99(?::99(?:[.,]9{1,9})?)?|999999|9999)"
+_TIME = r"(?P<time>(?P<h>99?):(?P<mi>99)(?::(?P<se>99)(?:[.,](?P<fr>9+))?)?|(?P<h2>99)(?P<mi2>99)(?P<se2>99)?)"
 _ZONE = r"(?P<zone>A|(?: A{2,4})|(?: ?[+-]99:?99)|(?: ?[+-]99))?"
 _MASK = re.compile(rf"(?:{_DATE})(?:(?P<sep>[ A])(?:{_TIME})(?P<half> ?[Aa]{{2}}(?![Aa]))?{_ZONE})?")
 _EPOCH = re.compile(r"9{10}|9{13}|9{16}")
-_SERIAL = re.compile(r"9{5}(?:\.9{1,12})?")
+_SERIAL = re.compile(r"9{5}(?:\.9+)?")
 
 # How day and month stand in a text.
 FIXED, DAY_FIRST, MONTH_FIRST = 0, 1, 2
@@ -59,25 +60,11 @@ def compile_mask(mask: str) -> Parser | None:
     m = _MASK.fullmatch(mask)
     if not m:
         return None
-    fields, order, s = [], FIXED, 0
-    if m["ymd"]:
-        fields += [("year", 0, 4), ("month", 5, 7), ("day", 8, 10)]
-    elif m["dmy"]:
-        order = MONTH_FIRST if m["half"] else DAY_FIRST
-        fields += [("a", 0, 2), ("b", 3, 5), ("year", 6, m.end("dmy"))]
-    elif m["mon"]:
-        fields += [("day", 0, 2), ("name", 3, 6), ("year", 7, 11)]
-    else:
-        fields += [("year", 0, 4), ("month", 4, 6), ("day", 6, 8)]
+    at = lambda name, *groups: [(name, *m.span(g)) for g in groups if m[g] is not None]
+    order = FIXED if not m["dmy"] else MONTH_FIRST if m["half"] else DAY_FIRST
+    fields = at("year", "y1", "y2", "y3", "y4") + at("month", "m1", "m4") + at("name", "m3") + at("day", "d1", "d3", "d4") + at("a", "a") + at("b", "b")
     if m["time"]:
-        s, colon = m.start("time"), ":" in m["time"]
-        step = 3 if colon else 2
-        fields += [("sep", s - 1, s), ("hour", s, s + 2), ("minute", s + step, s + step + 2)]
-        n = len(m["time"])
-        if n > step * 2:
-            fields.append(("second", s + 2 * step, s + 2 * step + 2))
-        if colon and n > 8:
-            fields.append(("fraction", s + 9, s + n))
+        fields += at("sep", "sep") + at("hour", "h", "h2") + at("minute", "mi", "mi2") + at("second", "se", "se2") + at("fraction", "fr")
         if m["half"]:
             fields.append(("half", m.end("half") - 2, m.end("half")))
         if m["zone"]:
@@ -147,9 +134,10 @@ def parse_fields(texts: np.ndarray, expected: np.ndarray, shift: np.ndarray, mon
             offset[rows] = 0
             continue
         if parser.kind == "serial":
-            part = _digits(f["part"]) if f["part"].shape[1] else np.zeros(len(rows), np.int64)
+            decimals = f["part"][:, :15]
+            part = _digits(decimals) if decimals.shape[1] else np.zeros(len(rows), np.int64)
             # To the millisecond: the decimals of a day number do not carry more.
-            ms = np.rint(part * (86_400_000.0 / 10 ** f["part"].shape[1])).astype(np.int64)
+            ms = np.rint(part * (86_400_000.0 / 10 ** decimals.shape[1])).astype(np.int64)
             wall[rows] = ((_digits(f["day"]) - 25569) * 86_400_000 + ms) * 1000
             continue
         year = _digits(f["year"])
@@ -183,8 +171,8 @@ def parse_fields(texts: np.ndarray, expected: np.ndarray, shift: np.ndarray, mon
             ok = ok & (minute < 60) & (sec <= 60) & ((hour < 24) | ((hour == 24) & (minute == 0) & (sec == 0)))
             us = ((hour * 60 + minute) * 60 + sec) * 1_000_000
             if "fraction" in f:
-                digits = f["fraction"].shape[1]
-                us = us + _digits(f["fraction"]) * 10 ** max(0, 6 - digits) // 10 ** max(0, digits - 6)
+                digits = f["fraction"][:, :6]  # what is below a microsecond is dropped
+                us = us + _digits(digits) * 10 ** (6 - digits.shape[1])
         if "offset" in f:
             o = f["offset"]
             d = o[:, 1:][:, [i for i in range(o.shape[1] - 1) if chr(mask[parser.fields[-1][1] + 1 + i]) == "9"]]
@@ -199,21 +187,31 @@ def parse_fields(texts: np.ndarray, expected: np.ndarray, shift: np.ndarray, mon
     return wall, offset
 
 
-def to_bytes(texts: pd.Series) -> np.ndarray:
-    """Fixed-width bytes of the texts; null and over-long texts become empty."""
+def by_width(texts: pd.Series) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Rows and fixed-width bytes of texts of about one length (doubling from
+    ``WIDTH``); null texts are empty."""
     raw = [b"" if t is None or t != t else t.strip().encode("utf-8", "replace") for t in texts.tolist()]
-    return np.array([b if len(b) <= WIDTH else b"" for b in raw] or [b""], f"S{WIDTH}")[: len(raw)]
+    width = np.full(len(raw), WIDTH)
+    for i in np.flatnonzero(np.fromiter(map(len, raw), np.int64, len(raw)) > WIDTH):
+        width[i] = WIDTH << (-(-len(raw[i]) // WIDTH) - 1).bit_length()
+    if (width == WIDTH).all():
+        return [(np.arange(len(raw)), np.array(raw or [b""], f"S{WIDTH}")[: len(raw)])]
+    rows = [np.flatnonzero(width == w) for w in np.unique(width)]
+    return [(r, np.array([raw[i] for i in r], f"S{width[r[0]]}")) for r in rows]
 
 
-def to_instants(texts, expected, shift, zones, month_first=None) -> pd.DataFrame:
+def to_instants(texts, expected, shift, zones, month_first=None, tables: ZoneTables | None = None) -> pd.DataFrame:
     """Earlier and later UTC microseconds (nullable) of time texts.
 
-    The two differ only for a wall time that occurs twice.
+    The two differ only for a wall time that occurs twice.  ``tables`` are zone
+    tables compiled elsewhere; zones and years that they lack are compiled here.
     """
-    data = to_bytes(texts)
-    if not len(data):
+    if not len(texts):
         return pd.DataFrame({"first_us": pd.array([], "Int64"), "last_us": pd.array([], "Int64")})
-    wall, offset = parse_fields(data, expected, shift, month_first)
+    tables = tables or compiled([])
+    wall, offset = np.full(len(texts), NONE), np.full(len(texts), NONE)
+    for rows, data in by_width(texts):
+        wall[rows], offset[rows] = parse_fields(data, expected[rows], shift[rows], None if month_first is None else month_first[rows])
     first = np.where(offset != NONE, wall - np.where(offset != NONE, offset, 0) * 1_000_000, wall)
     last = first.copy()
     local = (offset == NONE) & (wall != NONE)
@@ -222,6 +220,6 @@ def to_instants(texts, expected, shift, zones, month_first=None) -> pd.DataFrame
         for k, name in enumerate(names):
             rows = np.flatnonzero(local & (inverse == k))
             if len(rows):
-                first[rows], last[rows] = zone_table(resolve_zone(name, DEFAULT_ZONE)).to_utc(wall[rows])
+                first[rows], last[rows] = tables.to_utc(resolve_zone(name, DEFAULT_ZONE), wall[rows])
     bad = wall == NONE
     return pd.DataFrame({"first_us": pd.array(np.where(bad, 0, first), "Int64"), "last_us": pd.array(np.where(bad, 0, last), "Int64")}).mask(pd.Series(bad))

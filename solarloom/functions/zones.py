@@ -1,18 +1,20 @@
 """Versioned zone transition tables.
 
-A zone is compiled once, on the driver, into two sorted arrays: the UTC seconds
-at which its offset changes and the offsets that hold from then on.  The table
-set carries the version of the time-zone data it was built from, is a few
-hundred kilobytes at most (it is bounded by the number of existing zones, not by
-the data), and travels to the executors with the conversion function.
+A zone is compiled into two sorted arrays for each block of fifty years: the UTC
+seconds at which its offset changes and the offsets that hold from then on.  The
+driver compiles the zones of the parks for the usual blocks; the set carries the
+version of the time-zone data that it was built from, is bounded by the number
+of existing zones and not by the data, and travels to the executors with the
+conversion function.  Wall times of other years get their block where they occur.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import functools
+import os
 from dataclasses import dataclass
-from zoneinfo import ZoneInfo, available_timezones
+from zoneinfo import TZPATH, ZoneInfo, available_timezones
 
 import numpy as np
 
@@ -44,6 +46,7 @@ ABBREVIATIONS = {
     "WET": 0, "WEST": 60, "BST": 60,
     "CET": 60, "CEST": 120, "MEZ": 60, "MESZ": 120,
     "EET": 120, "EEST": 180, "MSK": 180,
+    "EST": -300, "EDT": -240, "CST": -360, "CDT": -300, "MST": -420, "MDT": -360, "PST": -480, "PDT": -420,
 }
 
 
@@ -92,19 +95,31 @@ class ZoneTable:
         return first, np.where(twice, local_us - after[j], first)
 
 
-@functools.lru_cache(maxsize=None)
-def zone_table(name: str, first_year: int = 1990, last_year: int = 2060) -> ZoneTable:
-    """Compile one zone: hourly probing between daily samples finds each change."""
+#: Years of a block, and the blocks that the driver compiles ahead: 1950 to 2099.
+BLOCK, USUAL = 50, (39, 40, 41)
+_YEAR_US = 31_556_952_000_000
+
+
+def block_of(local_us: np.ndarray) -> np.ndarray:
+    """Number of the block of years of wall times, exact but for the hours around a block's edge."""
+    return (local_us // _YEAR_US + 1970) // BLOCK
+
+
+@functools.lru_cache(maxsize=4096)
+def zone_table(name: str, block: int = 40) -> ZoneTable:
+    """Compile the transitions of one zone in one block of years, with a year on
+    both sides; the day in which the offset changes is halved to the second."""
     zone, utc = ZoneInfo(name), dt.timezone.utc
-    offset = lambda s: int(dt.datetime.fromtimestamp(s, utc).astimezone(zone).utcoffset().total_seconds())
-    begin = int(dt.datetime(first_year, 1, 1, tzinfo=utc).timestamp())
-    end = int(dt.datetime(last_year, 1, 1, tzinfo=utc).timestamp())
-    starts, offsets, step = [np.iinfo(np.int64).min // 4_000_000], [offset(begin)], 7 * 86400
+    offset = lambda s: int((EPOCH + dt.timedelta(seconds=s)).astimezone(zone).utcoffset().total_seconds())
+    year = lambda y: int((dt.datetime(min(9998, max(2, y)), 1, 1, tzinfo=utc) - EPOCH).total_seconds())
+    begin, end = year(block * BLOCK - 1), year((block + 1) * BLOCK + 1)
+    starts, offsets = [np.iinfo(np.int64).min // 4_000_000], [offset(begin)]
     t, known = begin, offset(begin)
     while t < end:
-        new = offset(t + step)
+        hi = t + 86400
+        new = offset(hi)
         if new != known:
-            lo, hi = t, t + step
+            lo = t
             while hi - lo > 1:
                 mid = (lo + hi) // 2
                 lo, hi = (lo, mid) if offset(mid) != known else (mid, hi)
@@ -112,10 +127,35 @@ def zone_table(name: str, first_year: int = 1990, last_year: int = 2060) -> Zone
             offsets.append(offset(hi))
             t, known = hi, offset(hi)
         else:
-            t += step
+            t = hi
     return ZoneTable(np.array(starts, np.int64), np.array(offsets, np.int64))
 
 
+EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+
+
+@dataclass(frozen=True)
+class ZoneTables:
+    """Compiled tables by zone and block, with the version of their data."""
+
+    version: str
+    tables: dict
+
+    def to_utc(self, name: str, local_us: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        first, last = np.empty_like(local_us), np.empty_like(local_us)
+        blocks = block_of(local_us)
+        for b in np.unique(blocks):
+            rows = blocks == b
+            table = self.tables.get((name, int(b))) or zone_table(name, int(b))
+            first[rows], last[rows] = table.to_utc(local_us[rows])
+        return first, last
+
+
+def compiled(names: list[str], blocks: tuple[int, ...] = USUAL) -> ZoneTables:
+    return ZoneTables(tables_version(), {(n, b): zone_table(n, b) for n in dict.fromkeys(names) for b in blocks})
+
+
+@functools.cache
 def tables_version() -> str:
     """Version of the zone data that the tables are built from."""
     try:
@@ -123,4 +163,11 @@ def tables_version() -> str:
 
         return tzdata.IANA_VERSION
     except ImportError:
-        return "system"
+        pass
+    for folder in TZPATH:  # the system's data name their version in a header
+        try:
+            with open(os.path.join(folder, "tzdata.zi")) as f:
+                return f.readline().split()[-1]
+        except OSError:
+            continue
+    return "system"

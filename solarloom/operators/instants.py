@@ -12,16 +12,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.timeparse import NONE, to_instants
-from ..functions.zones import DEFAULT_ZONE, resolve_zone
+from ..functions.timeparse import NONE, by_width, shape_masks, to_instants
+from ..functions.zones import DEFAULT_ZONE, ZoneTables, compiled, resolve_zone
 from ..sources.tables import latest_lines
 from .sizing import checked_side
 
 
-@F.pandas_udf(T.StructType([T.StructField("first_us", T.LongType()), T.StructField("last_us", T.LongType())]))
-def _instants(texts: pd.Series, day: pd.Series, lag: pd.Series, zone: pd.Series) -> pd.DataFrame:
-    expected = np.where(day.isna(), NONE, day.fillna(0).to_numpy(np.int64))
-    return to_instants(texts, expected, lag.fillna(0).to_numpy(np.int64), zone)
+INSTANT = T.StructType([T.StructField("first_us", T.LongType()), T.StructField("last_us", T.LongType())])
+
+
+def _instants(tables: ZoneTables):
+    """The conversion, with the zone tables that travel with it."""
+
+    @F.pandas_udf(INSTANT)
+    def convert(texts: pd.Series, day: pd.Series, lag: pd.Series, zone: pd.Series) -> pd.DataFrame:
+        expected = np.where(day.isna(), NONE, day.fillna(0).to_numpy(np.int64))
+        return to_instants(texts, expected, lag.fillna(0).to_numpy(np.int64), zone, tables=tables)
+
+    return convert
+
+
+@F.pandas_udf(T.StringType())
+def _mask(texts: pd.Series) -> pd.Series:
+    out = pd.Series([None] * len(texts), dtype=object)
+    for rows, data in by_width(texts):
+        out.iloc[rows] = [m.decode("latin-1") for m in shape_masks(data)] if len(data) else []
+    return out
 
 
 @F.pandas_udf(T.StringType())
@@ -49,11 +65,15 @@ def with_instants(df: DataFrame, park_metadata: DataFrame | None, lag: str | Non
     zone is wall time in the park's zone, of the park's last metadata line;
     ``zones`` (of ``park_zones``) saves finding these again.
     """
-    df = df.join(checked_side(park_zones(park_metadata)) if zones is None else zones, "park_id", "left")
+    zones = checked_side(park_zones(park_metadata)) if zones is None else zones
+    names = [r[0] for r in zones.select("_zone").distinct().collect()]  # resolved names: at most the existing zones
+    tables = compiled([*names, DEFAULT_ZONE])
+    df = df.join(zones, "park_id", "left")
     zone = F.coalesce("_zone", F.lit(DEFAULT_ZONE))
     day = F.unix_date(F.col("interval_start_date"))
     lag = F.col(lag) if lag else lag_of(F.lower(F.trim("signal_name")))
-    return df.withColumns({"_zone": zone, "instant": _instants("ts_local", day, lag, zone)})
+    df = df.withColumn("_zone", zone)
+    return df.withColumn("instant", _instants(tables)("ts_local", day, lag, "_zone").alias("instant")).withMetadata("instant", {"zone_tables": tables.version})
 
 
 def park_zones(park_metadata: DataFrame) -> DataFrame:
@@ -72,3 +92,10 @@ def corrected_instants(silver: DataFrame, park_metadata: DataFrame) -> DataFrame
     wrong = F.col("ts_utc").isNull() | (off("instant.first_us") & off("instant.last_us"))
     found = rows.filter(F.col("instant.first_us").isNotNull() & wrong)
     return found.select("ingest_key", F.floor(F.col("instant.first_us") / F.lit(1_000_000)).cast("long").alias("utc_s")).distinct()
+
+
+def unreadable(silver: DataFrame, park_metadata: DataFrame) -> DataFrame:
+    """``mask, n``: shapes of the time texts that denote no time, with their rows."""
+    rows = silver.filter(F.col("park_id").isNotNull() & F.col("ts_local").isNotNull()).select("park_id", "ts_local", "interval_start_date", "signal_name")
+    bad = with_instants(rows, park_metadata).filter(F.col("instant.first_us").isNull())
+    return bad.groupBy(_mask("ts_local").alias("mask")).agg(F.count("*").alias("n"))

@@ -7,8 +7,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from solarloom.functions.timeparse import NONE, compile_mask, shape_masks, to_bytes, to_instants
-from solarloom.functions.zones import resolve_zone, tables_version, zone_table
+from solarloom.functions.timeparse import NONE, by_width, compile_mask, shape_masks, to_instants
+from solarloom.functions.zones import compiled, resolve_zone, tables_version, zone_table
 
 UTC = dt.timezone.utc
 
@@ -45,6 +45,11 @@ def one(text, **kw):
         ("45449.6063078704", "2024-06-06T11:33:05"),
         ("31/12/2024 24:00", "2024-12-31T22:00:00"),
         (" 2024-05-18 10:21:27 ", "2024-05-18T07:21:27"),
+        ("2024-05-18T10:21:27." + "123456789" * 5 + "+03:00", "2024-05-18T07:21:27.123456"),
+        ("5/8/2024 1:05 PM", "2024-05-08T10:05:00"),
+        ("2024-05-18 10:21:27 EST", "2024-05-18T15:21:27"),
+        ("1985-07-01 12:00:00", "1985-07-01T09:00:00"),
+        ("2065-07-01 12:00:00", "2065-07-01T09:00:00"),
     ],
 )
 def test_layouts(text, want):
@@ -72,7 +77,22 @@ def test_day_and_month_by_interval():
     assert one("12/25/2024 10:00:00") == dt.datetime(2024, 12, 25, 8)
 
 
-@given(st.datetimes(dt.datetime(2001, 1, 1), dt.datetime(2049, 1, 1)), st.sampled_from(["Europe/Athens", "Europe/Lisbon", "Asia/Nicosia", "UTC", "Etc/GMT-2", "America/St_Johns"]))
+def test_texts_of_many_lengths_together():
+    texts = ["2024-05-18 10:21:27", None, "2024-05-18T10:21:27." + "0" * 60 + "Z", "x" * 9000, "2024-05-18T10:21:27." + "5" * 200 + "Z"]
+    got = instants(texts).first_us
+    assert got[0] + 3 * 3600 * 10**6 == got[2] == got[4] - 555_555 and got[1] is pd.NA and got[3] is pd.NA
+
+
+def test_tables_travel_with_their_version():
+    tables = compiled(["Europe/Athens", "Europe/Athens"])
+    assert tables.version == tables_version() and len(tables.tables) == 3
+    wall = np.array([dt.datetime(y, 7, 1, 12).replace(tzinfo=UTC).timestamp() * 10**6 for y in (1999, 2000, 2024, 1949, 2130)], np.int64)
+    first, _ = tables.to_utc("Europe/Athens", wall)
+    z = ZoneInfo("Europe/Athens")
+    assert first.tolist() == [int(dt.datetime(y, 7, 1, 12, tzinfo=z).timestamp()) * 10**6 for y in (1999, 2000, 2024, 1949, 2130)]
+
+
+@given(st.datetimes(dt.datetime(1905, 1, 1), dt.datetime(2140, 1, 1)), st.sampled_from(["Europe/Athens", "Europe/Lisbon", "Asia/Nicosia", "UTC", "Etc/GMT-2", "America/St_Johns"]))
 @settings(max_examples=60, deadline=None)
 def test_wall_times_against_the_library(t, zone):
     t = t.replace(microsecond=0)
@@ -99,7 +119,7 @@ def test_round_trip_of_layouts(t):
 
 
 def test_masks_are_compiled_once():
-    m = shape_masks(to_bytes(pd.Series(["2024-05-18 10:21:27 EEST"])))[0].decode()
+    m = shape_masks(by_width(pd.Series(["2024-05-18 10:21:27 EEST"]))[0][1])[0].decode()
     assert m == "9999-99-99 99:99:99 AAAA" and compile_mask(m) is compile_mask(m)
 
 
