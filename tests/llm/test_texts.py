@@ -105,6 +105,21 @@ def test_mixing_edges(spark):
     assert {(r["doc_id"], r["repeats"]) for r in big if r["source"] == "b"} == {(4, 1)}
 
 
+def test_a_rest_is_filled_past_documents_that_are_too_large(spark):
+    """Of many large documents only small ones behind them fit what is left."""
+    sizes = [3000] * 60 + [700] * 40 + [150] * 40 + [30] * 60 + [5] * 60
+    rows = [(i, "w " * n, "a") for i, n in enumerate(sizes)] + [(9000, "w " * 11_000, "b")]
+    report = {r["source"]: r for r in mixing.shares(docs(spark, rows), targets(spark, [("a", 0.5, 1), ("b", 0.5, 1)])).collect()}
+    assert report["a"]["tokens"] >= (1 - mixing.NEAR) * report["a"]["wanted_tokens"] - 5 and report["a"]["tokens"] <= report["a"]["wanted_tokens"]
+
+
+def test_more_sources_than_a_driver_would_list(spark):
+    n = 10_050
+    df = docs(spark, [(i, "some words here", f"s{i}") for i in range(n)])
+    got = mixing.mixed(df, targets(spark, [(f"s{i}", 1.0 / n, 1) for i in range(n)]))
+    assert got.count() == n and got.filter("repeats = 1").count() == n
+
+
 def test_prose():
     assert not reading.prose_words("ts;signal;value;unit\n2024-01-08 12:40:11;INV-05;870.464;kwh") and not reading.prose_words("time | inverter | kW | state\n2024 | INV-1 | 3 | OK")
     assert not reading.prose_words(None) and not reading.prose_words("") and not reading.prose_words("Status: closed")
