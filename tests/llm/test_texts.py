@@ -138,6 +138,29 @@ def test_reading_levels_of_held_out_documents(spark):
     assert len(rest) > 400 and np.corrcoef(a, b)[0, 1] > 0.9 and ((a > 3.5) == (b > 3.5)).mean() > 0.95
 
 
+def test_words_have_their_greatest_likelihood():
+    """Newton's answer against a search, and words of any length count."""
+    rng = np.random.default_rng(2)
+    weights = rng.dirichlet(np.ones(len(reading.GRID)))
+    n, mean = np.array([50.0, 5.0, 400.0]), np.array([1.0, -1.5, 0.2])
+    beta, psi = reading.newton(n, n * mean, weights)
+    ll = lambda b, i: n[i] * (mean[i] * b - np.log((weights * np.exp(b * reading.GRID)).sum())) - reading.PRECISION * b * b / 2
+    for i in range(3):
+        assert abs(max(np.linspace(-8, 8, 16001), key=lambda b: ll(b, i)) - beta[i]) < 2e-3  # noqa: B023
+    assert np.allclose(np.exp(psi) * np.exp(beta[:, None] * reading.GRID) @ weights, n + reading.PRIOR, rtol=1e-6)
+    long = "donaudampfschifffahrtselektrizitaetenhauptbetriebswerk"
+    assert reading.prose_words(f"we saw the {long} today")[long] == 1
+
+
+def test_a_large_vocabulary_gives_the_same_levels(spark, monkeypatch):
+    grades = spark.createDataFrame([(i, "g", 1 + i % 5) for i in range(40)], "doc_id bigint, grader string, grade_level int")
+    rows = [(i, " ".join(f"{w}{x}" for x in "abcd" for w in ("the", f"level{'xyzuv'[i % 5]}", f"own{'pqrst'[i % 7 % 5]}")), "a") for i in range(60)]
+    want = {r["doc_id"]: r["level"] for r in reading.reading_levels(docs(spark, rows), grades).collect()}
+    monkeypatch.setattr(reading, "BROADCAST_ROWS", 20)
+    got = {r["doc_id"]: r["level"] for r in reading.reading_levels(docs(spark, rows), grades).collect()}
+    assert set(got) == set(want) == set(range(60)) and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
 def test_reading_edges(spark):
     grades = spark.createDataFrame([(1, "g", 1), (1, "h", None), (2, "g", 5), (None, "g", 3), (99, "g", 2)], "doc_id bigint, grader string, grade_level int")
     easy, hard = "the sun is up and the dog is here", "stochastic regularisation attenuates heteroscedastic residuals throughout"
