@@ -216,6 +216,16 @@ class CommonUnits:
         self.silver, self.profile = silver, profile_of(silver)
         self.odd = checked_side(scale_exceptions(self.profile, rules))
 
+    def run_ranges(self, batches: int) -> list[tuple[str, str]]:
+        """First and last run of each of at most ``batches`` ranges of runs with
+        about equally many rows; from the profile's counts, by the first bytes of
+        the ids.  A range is a batch for operators that take batches in order."""
+        head = F.rpad(F.substring(F.encode("run_id", "UTF-8"), 1, 7), 7, F.lit(b"\x00"))
+        groups = self.profile.groups.filter("run_id is not null").select("run_id", "_rows", F.conv(F.hex(head), 16, 10).cast("long").alias("head"))
+        bounds = groups.agg(F.percentile("head", F.array(*[F.lit(k / batches) for k in range(1, batches)]), F.col("_rows")).alias("b")).first()["b"] if batches > 1 else []
+        number = sum(((F.col("head") > F.lit(b)).cast("int") for b in sorted(set(bounds or []))), F.lit(0))
+        return [(r["a"], r["z"]) for r in groups.groupBy(number.alias("k")).agg(F.min("run_id").alias("a"), F.max("run_id").alias("z")).orderBy("k").collect()]
+
     def rows(self, columns: list[str], only: Column | None = None, keep: Column | None = None, **more: Column) -> DataFrame:
         """The table with plain ``signal``, ``common`` (value in the common
         unit, null where the row is no reading), ``is_reading``, the asked

@@ -32,6 +32,12 @@ def shared_folder(spark: SparkSession) -> str:
 _OWN: dict[str, str] = {}
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ours, on whatever file system it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage in the shared folder."""
     spark = df.sparkSession
