@@ -78,15 +78,6 @@ class Texts:
         rows = rows.select(packed_key(F.col("ingest_key")).alias("key"), F.col("run_id").alias("run"), F.explode(F.array_compact(F.array(key, reading))).alias("t"))
         return rows.select(bucket_of(n_shards, "t.w1", "t.w2", "t.w3").alias("shard"), "key", "run", "t.*")
 
-    def run_ranges(self, batches: int) -> list[tuple[str, str]]:
-        """First and last run of each batch, about equally many rows in each;
-        from the profile's counts, by the first bytes of the ids."""
-        head = F.rpad(F.substring(F.encode("run_id", "UTF-8"), 1, 7), 7, F.lit(b"\x00"))
-        groups = self.units.profile.groups.filter("run_id is not null").select("run_id", "_rows", F.conv(F.hex(head), 16, 10).cast("long").alias("head"))
-        bounds = groups.agg(F.percentile("head", F.array(*[F.lit(k / batches) for k in range(1, batches)]), F.col("_rows")).alias("b")).first()["b"] if batches > 1 else []
-        number = sum(((F.col("head") > F.lit(b)).cast("int") for b in sorted(set(bounds or []))), F.lit(0))
-        return [(r["a"], r["z"]) for r in groups.groupBy(number.alias("k")).agg(F.min("run_id").alias("a"), F.max("run_id").alias("z")).orderBy("k").collect()]
-
 
 def value_cell(v: Column) -> Column:
     """Cells of 10 % width; values within the tolerance lie in one cell or in neighbours."""
@@ -248,7 +239,7 @@ def repeats(silver: DataFrame, park_metadata: DataFrame, batches: int = BATCHES)
     shards = bucket_count(2 * texts.units.profile.n_rows // batches, ROWS)
     spark = silver.sparkSession
     history = AcceptedHistory(spark, f"{shared_folder(spark)}/history-{uuid.uuid4().hex}", shards)
-    ranges = texts.run_ranges(batches)
+    ranges = texts.units.run_ranges(batches)
     number = sum(((F.col("run") > F.lit(z)).cast("int") for _, z in ranges[:-1]), F.lit(0))
     hot = hot_shards(texts.rows(shards).withColumn("batch", number), "batch")
     found = None

@@ -147,7 +147,7 @@ def test_words_have_their_greatest_likelihood():
     ll = lambda b, i: n[i] * (mean[i] * b - np.log((weights * np.exp(b * reading.GRID)).sum())) - reading.PRECISION * b * b / 2
     for i in range(3):
         assert abs(max(np.linspace(-8, 8, 16001), key=lambda b: ll(b, i)) - beta[i]) < 2e-3  # noqa: B023
-    assert np.allclose(np.exp(psi) * np.exp(beta[:, None] * reading.GRID) @ weights, n + reading.PRIOR, rtol=1e-6)
+    assert np.allclose(np.exp(psi) * (np.exp(beta[:, None] * reading.GRID) @ weights), n + reading.PRIOR, rtol=1e-6)
     long = "donaudampfschifffahrtselektrizitaetenhauptbetriebswerk"
     assert reading.prose_words(f"we saw the {long} today")[long] == 1
 
