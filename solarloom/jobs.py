@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from .operators.ingest import append_monthly
 from .operators.quality import FLAGS, any_flag, flagged, new_keys, split
 from .operators.sizing import checkpointed
-from .sinks.control import Watermark
+from .sinks.control import Watermark, existing
 from .sources.files import new_files
 
-REQUIRED = ["ts_utc", "park_id", "signal_name"]
+REQUIRED = ["ts_utc", "park_id", "signal_name", "ingest_key"]
 
 
 @dataclass(frozen=True)
@@ -43,11 +43,9 @@ def validate_new_runs(spark: SparkSession, logs: DataFrame, rules: DataFrame, fo
     accepted = most_invalid_pct is None or n["bad"] * 100.0 <= most_invalid_pct * max(1, n["n"])
     good, bad = split(rows) if accepted else (rows.limit(0), rows)
     bad.write.mode("overwrite").parquet(f"{folder}/quarantine/upto={runs[-1]}")
-    try:
-        good = new_keys(good, spark.read.parquet(f"{folder}/fact"))
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
+    known = existing(spark, f"{folder}/fact")
+    if known is not None:
+        good = new_keys(good, known)
     good = checkpointed(good)
     appended = good.count()
     if appended:

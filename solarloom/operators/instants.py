@@ -99,3 +99,10 @@ def unreadable(silver: DataFrame, park_metadata: DataFrame) -> DataFrame:
     rows = silver.filter(F.col("park_id").isNotNull() & F.col("ts_local").isNotNull()).select("park_id", "ts_local", "interval_start_date", "signal_name")
     bad = with_instants(rows, park_metadata).filter(F.col("instant.first_us").isNull())
     return bad.groupBy(_mask("ts_local").alias("mask")).agg(F.count("*").alias("n"))
+
+
+def instant_of(text: Column, zone: str = DEFAULT_ZONE) -> Column:
+    """Struct of ``first_us`` and ``last_us`` of a time text whose wall times are
+    those of one zone."""
+    none = F.lit(None).cast("int")
+    return _instants(compiled([zone]))(text, none, F.lit(0), F.lit(zone))

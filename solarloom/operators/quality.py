@@ -9,26 +9,32 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .ingest import finite
+from .sizing import checkpointed
 
 FLAGS = ("flag_missing_required", "flag_invalid_value", "flag_invalid_unit_range", "flag_duplicate")
 
 
 def flagged(df: DataFrame, rules: DataFrame, required: list[str], mark_all: bool = True) -> DataFrame:
     """Recompute the four flags.  Rules (unit, min_allowed, max_allowed) are a
-    small fixed dimension; of a unit's rows any one is taken.  ``mark_all``
-    marks every copy of a key, else all but the first."""
+    small fixed dimension; the rules of one unit are united.  ``mark_all``
+    marks every copy of a key, else all but the first (by run, file and content;
+    rows without a key are nobody's copies then).  Copies are counted map-side
+    and joined back, so those of a hot key never meet in one task."""
     rules = rules.groupBy(F.lower(F.trim("unit")).alias("_unit")).agg(F.min("min_allowed").alias("_lo"), F.max("max_allowed").alias("_hi"))
     rows = df.drop(*FLAGS).withColumn("_unit", F.regexp_replace(F.lower(F.trim("unit")), "^u_", ""))
     rows = rows.join(F.broadcast(rules), "_unit", "left").withColumn("_v", finite(F.col("value")))
     missing = reduce(Column.__or__, [F.col(c).isNull() for c in required])
     outside = F.coalesce((F.col("_v") < F.col("_lo")) | (F.col("_v") > F.col("_hi")), F.lit(False))
-    if mark_all:  # counted map-side and joined back: copies of a hot key never meet in one task
+    if mark_all:
         copies = df.groupBy(F.col("ingest_key").alias("_key")).agg(F.count("*").alias("_copies")).filter("_copies > 1")
         rows = rows.join(copies, F.col("ingest_key").eqNullSafe(F.col("_key")), "left")
         rows = rows.withColumn("_duplicate", F.col("_copies").isNotNull()).drop("_copies", "_key")
     else:
-        order = W.partitionBy("ingest_key").orderBy("run_id", "source_file_hash", F.xxhash64(*[c for c in df.columns if c not in FLAGS]))
-        rows = rows.withColumn("_duplicate", F.row_number().over(order) > 1)
+        content = F.xxhash64(*[c for c in df.columns if c not in FLAGS])
+        rows = checkpointed(rows.withColumn("_place", F.struct("run_id", "source_file_hash", content, F.monotonically_increasing_id().alias("id"))))
+        first = rows.filter(F.col("ingest_key").isNotNull()).groupBy(F.col("ingest_key").alias("_key")).agg(F.min("_place").alias("_first"), F.count("*").alias("_copies"))
+        rows = rows.join(first.filter("_copies > 1"), F.col("ingest_key") == F.col("_key"), "left")
+        rows = rows.withColumn("_duplicate", F.coalesce(F.col("_place") != F.col("_first"), F.lit(False))).drop("_place", "_key", "_first", "_copies")
     rows = rows.withColumns({"flag_missing_required": missing, "flag_invalid_value": F.col("_v").isNull(), "flag_invalid_unit_range": outside, "flag_duplicate": F.col("_duplicate")})
     return rows.drop("_unit", "_lo", "_hi", "_v", "_duplicate")
 
@@ -56,9 +62,15 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(best.alias("_r")).select(*keys, "_r.*").select(*df.columns)
 
 
-def new_keys(batch: DataFrame, existing: DataFrame, key: str = "ingest_key") -> DataFrame:
-    """Rows of the batch whose key is not in the table; reads only its keys."""
-    return batch.join(existing.select(key), key, "left_anti")
+def new_keys(batch: DataFrame, existing: DataFrame, keys: tuple[str, ...] = ("ingest_key",)) -> DataFrame:
+    """Rows of the batch whose key is not in the table; reads only its keys.
+
+    By key alone a row comes once, whatever its run; ``("ingest_key", "run_id")``
+    lets a later run bring it again.  Rows with a null key are not comparable and
+    are left out: they belong into quarantine (``flagged`` marks them as missing
+    when the key is required)."""
+    batch = batch.filter(reduce(Column.__and__, [F.col(k).isNotNull() for k in keys]))
+    return batch.join(existing.select(*keys), list(keys), "left_anti")
 
 
 def invalid_percent(df: DataFrame) -> DataFrame:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EXPORTS = (".csv", ".txt")
+#: A run: its second, and a file's hash where two files of one second must differ.
+RUN_ID = re.compile(r"\d{8}T\d{6}Z(-[0-9a-f]{8})?")
 
+# The run log's columns.
 RUN_LOG = T.StructType([
     T.StructField("run_id", T.StringType()), T.StructField("dataset", T.StringType()),
     T.StructField("input_file_processing_path", T.StringType()), T.StructField("archived_path", T.StringType()),
@@ -62,7 +67,7 @@ def run_logs(spark: SparkSession, folder: str) -> DataFrame:
 def new_files(logs: DataFrame, after_run: str | None, dataset: str | None = None) -> DataFrame:
     """``run_id, path`` of the files written by valid runs after a run, each path
     once (at its first run)."""
-    rows = logs.filter(F.col("run_id").rlike(r"^\d{8}T\d{6}Z$"))
+    rows = logs.filter(F.col("run_id").rlike(f"^{RUN_ID.pattern}$"))
     if after_run:
         rows = rows.filter(F.col("run_id") > after_run)
     if dataset:

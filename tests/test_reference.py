@@ -202,15 +202,50 @@ def test_streaming_ingest_is_idempotent(spark, tmp_path):
     inbox.mkdir()
     columns = ["datetime", "a__97_kwp__availability__pct", "b__10_kwp__pcc_active_energy_export__kwh"]
     rules = spark.createDataFrame([("pct", 0.0, 1.0)], "unit string, min_allowed double, max_allowed double")
-    (inbox / "f1.csv").write_text(",".join(columns) + "\n2024-01-02 00:00:00,0.5,10\n2024-01-03 00:00:00,7,11\n")
-    ingest_exports(spark, str(inbox), columns, rules, str(out))
+    first = ",".join(columns) + "\n2024-01-02 00:00:00,0.5,10\n2024-01-03 00:00:00,7,11\nnever,1,1\n"
+    (inbox / "f1.csv").write_text(first)
+    step = lambda **kw: ingest_exports(spark, str(inbox), rules, str(out), **kw)
+    step()
     n = lambda: (spark.read.parquet(str(out / "fact")).count(), spark.read.parquet(str(out / "quarantine")).count())
+    assert n() == (3, 1) and spark.read.parquet(str(out / "unreadable")).count() == 1
+    step()
     assert n() == (3, 1)
-    ingest_exports(spark, str(inbox), columns, rules, str(out))
-    assert n() == (3, 1)
-    (inbox / "f2.csv").write_text(",".join(columns) + "\n2024-02-02 00:00:00,0.25,\n")
-    ingest_exports(spark, str(inbox), columns, rules, str(out))
-    assert n()[0] == 4
+    # Columns in another order and time texts of another kind; the same content under another name; no time column.
+    (inbox / "f2.csv").write_text(",".join([columns[2], columns[0], columns[1]]) + "\n10,2024-02-01T22:00:00Z,0.25\n,02/03/2024 00:00,0.5\n")
+    (inbox / "f3.csv").write_text(first)
+    (inbox / "f4.csv").write_text("a,b\n1,2\n")
+    step()
+    fact = spark.read.parquet(str(out / "fact"))
+    assert n()[0] == 6 and fact.select("ingest_key").distinct().count() == 6
+    got = {(r["park_id"], str(r["interval_start_date"]), r["value"]) for r in fact.filter("source_file = 'f2.csv'").collect()}
+    assert got == {("a", "2024-02-01", 0.25), ("b", "2024-02-01", 10.0), ("a", "2024-03-01", 0.5)}
+    events = spark.read.parquet(str(out / "registry")).collect()
+    assert sorted((r["source_file"].rsplit("/", 1)[1], r["status"]) for r in events) == [("f1.csv", "ingested"), ("f2.csv", "ingested"), ("f3.csv", "skipped_duplicate"), ("f4.csv", "rejected")]
+    (inbox / "f5.csv").write_text(first)
+    step(allow_duplicates=True)  # the rows are known by their keys all the same
+    assert n()[0] == 6 and spark.read.parquet(str(out / "registry")).filter("status = 'ingested'").count() == 3
+
+
+def test_ingest_instants(spark):
+    wide = spark.createDataFrame(
+        [("2024-05-01T12:00:00+00:00", "1"), ("2024-03-31 03:30:00", "2"), ("2024-10-27 03:30:00", "3"), ("05/01/2024 12:00:00 PM", "4"), ("13/05/2024 12:00:00", "5"), ("x" * 70, "6"), (None, "7")],
+        "datetime string, a__97_kwp__active_power__kw string",
+    )
+    got = {r["value"]: str(r["ts_utc"]) for r in ingest.wide_to_long(wide).collect()}
+    assert got == {1.0: "2024-05-01 12:00:00", 2.0: "2024-03-31 01:00:00", 3.0: "2024-10-27 00:30:00", 4.0: "2024-05-01 09:00:00", 5.0: "2024-05-13 09:00:00"}
+    assert ingest.unreadable_rows(wide).count() == 2
+    days = spark.createDataFrame([(dt.date(2024, 1, 1), "2024-05-01 00:00:00", None), (None, "2024-05-01 00:00:00", None), (None, "no", dt.datetime(2024, 6, 1, 5))], "interval_start_date date, ts_local string, ts_utc timestamp")
+    assert [str(r["interval_start_date"]) for r in ingest.booked_day(days).collect()] == ["2024-01-01", "2024-05-01", "2024-06-01"]
+
+
+def test_null_keys_go_to_quarantine(spark, silver):
+    base = dict(ts_utc=dt.datetime(2024, 1, 1), park_id="p", signal_name="s", unit="pct", value=0.5, run_id="1")
+    df = silver([base | {"ingest_key": None}, base | {"ingest_key": None}, base | {"ingest_key": "k"}, base | {"ingest_key": "k"}])
+    rules = spark.createDataFrame([("pct", 0.0, 1.0)], "unit string, min_allowed double, max_allowed double")
+    good, bad = quality.split(quality.flagged(df, rules, ["ingest_key"], mark_all=False))
+    assert [r["ingest_key"] for r in good.collect()] == ["k"] and sorted(r["flag_duplicate"] for r in bad.collect()) == [False, False, True]
+    assert quality.new_keys(df, df.limit(0)).count() == 2
+    assert quality.new_keys(df, df.withColumn("run_id", F.lit("2")), ("ingest_key", "run_id")).count() == 2
 
 
 def test_control(spark, tmp_path):
@@ -221,6 +256,34 @@ def test_control(spark, tmp_path):
     r.append([{"source_file_hash": "a", "status": "ingested", "rows_long": 3}, {"source_file_hash": "b", "status": "rejected"}])
     files_df = spark.createDataFrame([("a",), ("b",), ("c",)], "source_file_hash string")
     assert sorted(x[0] for x in r.unseen(files_df).collect()) == ["b", "c"]
+    assert control.Registry(spark, f"file://{tmp_path}/reg").rows().count() == 2 and control.Watermark(f"file://{tmp_path}/no").get() is None
+    own = control.new_run_id(dt.datetime(2024, 1, 2, 3, 4, 5), "ab" * 32)
+    control.write_run_log(str(tmp_path / "logs"), own, dataset="d", files_written=["x"])
+    assert [tuple(r) for r in files.new_files(files.run_logs(spark, str(tmp_path / "logs")), None).select("path", "run_id").collect()] == [("x", own)]
+    with control.Lock(spark, str(tmp_path / "lock")):
+        with pytest.raises(TimeoutError):
+            control.Lock(spark, str(tmp_path / "lock")).__enter__()
+    with control.Lock(spark, str(tmp_path / "lock")):
+        pass
+    maps = control.Mappings(str(tmp_path / "maps"))
+    assert maps.current() is None
+    path, new = maps.update(["[A 5 kWp] Power (kW)", "Timestamp"], naming.sanitized_all)
+    assert new and path.endswith("mapping_v001.csv") and maps.current()[0] == path
+    assert maps.update(["Timestamp"], naming.sanitized_all) == (path, False)
+    path, new = maps.update(["x, \"y\""], naming.sanitized_all)
+    assert new and path.endswith("_v002.csv") and maps.names()["Timestamp"] == "datetime" and maps.names()["x, \"y\""] == "x_y"
+    (tmp_path / "maps" / "mapping_v002.csv").write_text("")
+    with pytest.raises(ValueError):
+        maps.current()
+    stage = lambda run: control.write_stage(files_df, str(tmp_path / "stage"), run, keep=2)
+    assert [stage(x) for x in ("1", "2", "3")] == [[], [], ["run_id=1"]]
+    assert control.reset(str(tmp_path / "stage"), "run_id=2", "run_id=9") == [str(tmp_path / "stage" / "run_id=2")]
+    with pytest.raises(ValueError):
+        control.reset(str(tmp_path / "stage"), "../logs")
+    (tmp_path / "in.csv").write_text("1")
+    moved = control.filed(str(tmp_path / "in.csv"), str(tmp_path / "rejected"), dt.date(2024, 1, 2), "ab" * 32, "No time column!")
+    assert moved.endswith("rejected/year=2024/month=01/day=02/in__no_time_column_abababab.csv")
+    assert control.restored(moved, str(tmp_path / "again")).endswith("again/in.csv")
     w = control.Watermark(str(tmp_path / "w" / "mark"))
     assert w.get() is None and w.commit(["2", "1"]) == "2" and w.commit(["1"]) == "2" and w.get() == "2" and w.commit([]) == "2"
     (tmp_path / "x_v001.md").write_text("")
