@@ -37,7 +37,8 @@ from pyspark.sql import functions as F
 
 from ..operators.instants import lag_of, park_zones, with_instants
 from ..operators.readings import CommonUnits
-from ..operators.sizing import bucket_count, bucket_of, checked_side, checkpointed, shared_folder
+from ..operators.sizing import bucket_count, bucket_of, checked_side, checkpointed, remove_folder, shared_folder
+from ..sinks.shared import remove
 from . import suffix
 from .suffix import SuffixArray
 
@@ -216,7 +217,7 @@ class AcceptedHistory:
             for b in batches:
                 for shard in b.column(0).to_pylist():
                     for path in suffix.files_of(f"{folder}/{shard:06d}", segments):
-                        suffix.remove(path)
+                        remove(path)
                 yield b
 
         self.spark.range(self.shards).mapInArrow(run, "id long").write.format("noop").mode("overwrite").save()
@@ -247,5 +248,5 @@ def repeats(silver: DataFrame, park_metadata: DataFrame, batches: int = BATCHES)
         mine = None if hot is None else hot.filter(F.col("batch") == k).drop("batch")
         some = history.accept_texts(texts.rows(shards, only=F.col("run_id").between(a, z)), mine)
         found = some if found is None else found.unionByName(some)
-    suffix.remove(history.folder)
+    remove_folder(spark, history.folder)
     return found if found is not None else spark.createDataFrame([], "ingest_key string, run_id string")

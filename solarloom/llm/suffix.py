@@ -21,6 +21,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 from pyarrow import fs
 
+from ..sinks.shared import located
+
 WORDS = 3
 WIDTH = 8 * (WORDS + 1)
 #: Entries that a merge holds at a time.
@@ -151,13 +153,6 @@ def write_merged(path: str, parts: list[SuffixArray]) -> None:
     _write(path, chunks, runs)
 
 
-def located(path: str) -> tuple[fs.FileSystem, str]:
-    """File system and path; Hadoop's ``file:/x`` is a local path."""
-    if path.startswith("file:"):
-        path = "/" + path[5:].lstrip("/")
-    return (fs.LocalFileSystem(), path) if "://" not in path else fs.FileSystem.from_uri(path)
-
-
 def _write(path: str, chunks: Iterable[tuple[np.ndarray, np.ndarray]], runs: np.ndarray) -> None:
     """Keys, orders, runs and a footer; the file appears whole or not at all,
     and a repeated task writes the same file again."""
@@ -199,11 +194,3 @@ def files_of(folder: str, segments: set[int]) -> list[str]:
     found = at.get_file_info(fs.FileSelector(name, allow_not_found=True))
     own = [f.base_name for f in found if f.base_name.endswith(".sa") and int(f.base_name.split(".")[0]) in segments]
     return [f"{folder}/{n}" for n in sorted(own)]
-
-
-def remove(path: str) -> None:
-    at, name = located(path)
-    if at.get_file_info(name).type == fs.FileType.Directory:
-        at.delete_dir(name)
-    elif at.get_file_info(name).type == fs.FileType.File:
-        at.delete_file(name)
