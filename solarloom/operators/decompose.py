@@ -16,22 +16,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _tricube(d: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Weights of distances ``d`` in a neighbourhood of radius ``h``."""
+    r = np.abs(d) / np.maximum(h, 1e-12)
+    return np.where(r <= 0.001, 1.0, np.where(r < 0.999, (1 - r**3) ** 3, 0.0))
+
+
 @lru_cache(maxsize=256)
 def _neighbours(n: int, span: int, ahead: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions -ahead .. n-1+ahead, their nearest points and tricube weights; series of one length share them."""
+    """Positions -ahead .. n-1+ahead, their nearest points and weights; series of one length share them."""
     at = np.arange(-ahead, n + ahead, dtype=float)
     q = min(span, n)
     left = np.clip(np.floor(at - (q - 1) / 2), 0, n - q).astype(int)
     idx = left[:, None] + np.arange(q)
-    d = np.abs(idx - at[:, None])
-    h = d.max(axis=1) + max(0, (span - n) / 2)
-    return at, idx, np.clip(1 - (d / np.maximum(h, 1e-12)[:, None] / 1.0001) ** 3, 0, None) ** 3
+    d = idx - at[:, None]
+    return at, idx, _tricube(d, (np.abs(d).max(axis=1) + max(0, (span - n) // 2))[:, None])
 
 
 def loess(y: np.ndarray, span: int, weights: np.ndarray | None = None, ahead: int = 0) -> np.ndarray:
     """Local linear fit at positions -ahead .. n-1+ahead with tricube weights.
 
-    The last axis is time; series before it are smoothed at once."""
+    The last axis is time; series before it are smoothed at once.  A point whose
+    neighbours have no weight keeps its value."""
     n = y.shape[-1]
     w = np.ones(n) if weights is None else weights
     at, idx, near = _neighbours(n, span, ahead)
@@ -43,32 +49,77 @@ def loess(y: np.ndarray, span: int, weights: np.ndarray | None = None, ahead: in
     off, v = k * (idx - mean[..., None]), y[..., idx]
     var = (off * (idx - mean[..., None])).sum(axis=-1)
     slope = np.where(var > 1e-9, (off * v).sum(axis=-1) / np.maximum(var, 1e-9), 0.0)
-    return (k * v).sum(axis=-1) + slope * (at - mean)
-
-
-def stl(y: np.ndarray, period: int, robust: bool = True, seasonal: int = 7, inner: int = 2, outer: int = 15) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Trend, seasonal part and remainder of a series of at least two periods."""
+    return np.where(ok, (k * v).sum(axis=-1) + slope * (at - mean), y[..., np.clip(at, 0, n - 1).astype(int)])
+
+
+@lru_cache(maxsize=64)
+def _wide_kernels(n: int, span: int) -> tuple:
+    """Transforms of the inner kernel times 1, d, d**2, and the weights of the edges."""
+    half = (span - 1) // 2
+    size = 1 << (n + span).bit_length()
+    d = np.arange(-half, half + 1.0)
+    inner = _tricube(d, np.array(float(half)))
+    # Correlation with the kernel is convolution with the reversed one.
+    kernels = [np.fft.rfft((inner * d**p)[::-1], size) for p in range(3)]
+    at = np.arange(half)[:, None]
+    d = np.arange(span)[None, :] - at
+    edge = _tricube(d, span - 1.0 - at)
+    return half, size, kernels, [edge * d**p for p in range(3)]
+
+
+def loess_wide(y: np.ndarray, span: int, weights: np.ndarray | None = None) -> np.ndarray:
+    """``loess`` of one series over a wide odd span: the five moments of all inner
+    neighbourhoods by fast Fourier transforms, those of the edges by two products."""
+    n = len(y)
+    if span >= n or span < 64 or span % 2 == 0:
+        return loess(y, span, weights)
+    half, size, kernels, edges = _wide_kernels(n, span)
+    w = np.ones(n) if weights is None else weights
+    shift = y.mean()
+    fw, fy = np.fft.rfft(w, size), np.fft.rfft(w * (y - shift), size)
+    inner = lambda f, p: np.fft.irfft(f * kernels[p], size)[span - 1 : n]
+    left = lambda v, p: edges[p] @ v[:span]
+    right = lambda v, p: (edges[p] @ v[::-1][:span])[::-1] * (-1) ** p
+    moment = lambda f, v, p: np.concatenate([left(v, p), inner(f, p), right(v, p)])
+    v = w * (y - shift)
+    s0, s1, s2 = (moment(fw, w, p) for p in range(3))
+    y0, y1 = (moment(fy, v, p) for p in range(2))
+    ok = s0 > 1e-9 * max(1.0, s0.max())
+    s0 = np.where(ok, s0, 1.0)
+    mean = s1 / s0
+    var = s2 / s0 - mean**2
+    slope = np.where(var > 1e-6, (y1 / s0 - mean * y0 / s0) / np.maximum(var, 1e-6), 0.0)
+    return np.where(ok, y0 / s0 - slope * mean + shift, y)
+
+
+def stl(y: np.ndarray, period: int, robust: bool = True, seasonal: int = 7, outer: int = 15) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Trend, seasonal part and remainder of a series of at least two periods.
+
+    The spans are the usual ones: the trend's the least odd number from
+    1.5 period / (1 - 1.5 / seasonal), the low pass's the least odd number above
+    the period; two inner rounds under robustness weights, else five."""
     n = len(y)
     odd = lambda v: int(np.ceil(v)) // 2 * 2 + 1
-    span_t, span_l = odd(1.5 * period / (1 - 1.5 / seasonal)), odd(period)
+    span_t, span_l = odd(1.5 * period / (1 - 1.5 / seasonal)), period + 1 + period % 2
     trend, weights, season = np.zeros(n), np.ones(n), np.zeros(n)
     average = lambda v, k: np.convolve(v, np.ones(k) / k, mode="valid")
     for _ in range(outer if robust else 1):
         before = trend + season
-        for _ in range(inner):
+        for _ in range(2 if robust else 5):
             cycle = np.empty(n + 2 * period)
             for a, z, m in ((0, n % period, n // period + 1), (n % period, period, n // period)):  # subseries of equal length
                 at = np.arange(a, z)[:, None] + period * np.arange(m + 2)
                 cycle[at] = loess((y - trend)[at[:, :m]], seasonal, weights[at[:, :m]], ahead=1)
-            low = loess(average(average(average(cycle, period), period), 3), span_l)
+            low = loess_wide(average(average(average(cycle, period), period), 3), span_l)
             season = cycle[period : period + n] - low
-            trend = loess(y - season, span_t, weights)
+            trend = loess_wide(y - season, span_t, weights)
         if not robust:
             break
         r = np.abs(y - trend - season)
         h = 6 * np.median(r)
-        weights = np.clip(1 - (r / h) ** 2, 0, None) ** 2 if h > 0 else np.ones(n)
-        if np.abs(trend + season - before).max() < 1e-3 * (np.std(y) or 1):
+        ratio = r / h if h > 0 else np.zeros(n)
+        weights = np.where(ratio <= 0.001, 1.0, np.where(ratio <= 0.999, (1 - ratio**2) ** 2, 0.0))
+        if np.abs(trend + season - before).max() < 1e-5 * (np.std(y) or 1):
             break
     return trend, season, y - trend - season
 

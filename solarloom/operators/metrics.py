@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .quantiles import with_quantiles
+
 AGGREGATES: dict[str, Callable[[str], Column]] = {
     "sum": lambda c: F.coalesce(F.sum(c), F.lit(0.0)),
     "mean": F.avg, "avg": F.avg, "average": F.avg, "min": F.min, "max": F.max, "count": F.count,
@@ -42,7 +44,8 @@ def current_mtd(daily: DataFrame, at: dt.date, how: str = "sum") -> DataFrame:
 def periods(daily: DataFrame, unit: str = "month", per_park: bool = True) -> DataFrame:
     """Sums by month or year, empty periods inside the span as 0."""
     keys = ["park_id"] if per_park else []
-    sums = daily.groupBy(*keys, F.trunc("day", unit).alias("period")).agg(F.sum("kwh").alias("kwh"))
+    at = F.to_date("day") if unit == "day" else F.trunc("day", unit)
+    sums = daily.groupBy(*keys, at.alias("period")).agg(F.sum("kwh").alias("kwh"))
     step = F.expr(f"interval 1 {unit}")
     spine = sums.groupBy(*keys).agg(F.explode(F.sequence(F.min("period"), F.max("period"), step)).alias("period"))
     return spine.join(sums, [*keys, "period"], "left").withColumn("kwh", F.coalesce("kwh", F.lit(0.0)))
@@ -85,7 +88,9 @@ def overall_change(sums: DataFrame, keys: list[str], at: str, value: str = "kwh"
 def summary(df: DataFrame, keys: list[str], value: str = "kwh") -> DataFrame:
     """Count, mean, median, sample deviation, extremes and variation (%)."""
     mean, std = F.avg(value), F.stddev_samp(value)
-    return df.groupBy(*keys).agg(F.count(value).alias("n"), mean.alias("mean"), F.percentile(value, F.lit(0.5)).alias("median"), std.alias("std"), F.min(value).alias("least"), F.max(value).alias("most"), (F.try_divide(std, mean) * 100).alias("cv_pct"))
+    out = df.groupBy(*keys).agg(F.count(value).alias("n"), mean.alias("mean"), std.alias("std"), F.min(value).alias("least"), F.max(value).alias("most"), (F.try_divide(std, mean) * 100).alias("cv_pct"))
+    out = with_quantiles(out, df, keys, value, (0.5,)).withColumn("median", F.col("q")[0])
+    return out.select(*keys, "n", "mean", "median", "std", "least", "most", "cv_pct")
 
 
 def average_band(value: str, keys: list[str]) -> Column:
@@ -94,11 +99,19 @@ def average_band(value: str, keys: list[str]) -> Column:
     return F.when(share >= 1.1, 3).when(share >= 1.0, 2).when(share >= 0.9, 1).when(share.isNotNull(), 0)
 
 
-def trend(daily: DataFrame, keys: list[str], value: str = "kwh") -> DataFrame:
+def trend(daily: DataFrame, keys: list[str], value: str = "kwh", log: bool = False) -> DataFrame:
     """Least-squares line over days: slope a day, share of the mean a month and
-    a year (%), and R2."""
+    a year (%), and R2.  Of a logarithm (``log``) the slope is a share itself."""
     x = F.unix_date("day").cast("double")
     slope = F.regr_slope(value, x)
     g = daily.groupBy(*keys).agg(slope.alias("slope"), F.regr_r2(value, x).alias("r2"), F.avg(value).alias("mean"))
-    share = F.try_divide(F.col("slope"), F.col("mean")) * 100
+    share = (F.col("slope") if log else F.coalesce(F.try_divide(F.col("slope"), F.col("mean")), F.lit(0.0))) * 100
     return g.select(*keys, "slope", "r2", (share * 30.44).alias("monthly_pct"), (share * 365.25).alias("annual_pct"))
+
+
+def monthly_median(daily: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Median of a daily value in each calendar month of a series."""
+    month = F.trunc("day", "month").alias("month")
+    return daily.groupBy(*keys, month).agg(F.percentile(value, F.lit(0.5)).alias("median"))  # at most 31 values
+
+

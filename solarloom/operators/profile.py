@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .quantiles import with_quantiles
+
 
 def overview(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("n_rows"), F.countDistinct("park_id").alias("n_parks"), F.countDistinct("signal_name").alias("n_signals"), F.countDistinct("unit").alias("n_units"), F.min("interval_start_date").alias("first_day"), F.max("interval_start_date").alias("last_day"))
@@ -13,9 +15,9 @@ def overview(df: DataFrame) -> DataFrame:
 
 def stats_by(df: DataFrame, keys: list[str], value: str = "value", quantiles=(0.05, 0.5, 0.95), count_nulls: bool = False) -> DataFrame:
     """Count, extremes, mean, sample deviation and exact quantiles by keys."""
-    q = F.percentile(value, F.array(*map(F.lit, quantiles)))
-    g = df.groupBy(*keys).agg((F.count("*") if count_nulls else F.count(value)).alias("n"), F.min(value).alias("v_min"), F.max(value).alias("v_max"), F.avg(value).alias("v_mean"), F.stddev_samp(value).alias("v_std"), q.alias("_q"))
-    return g.select(*keys, "n", "v_min", "v_max", "v_mean", "v_std", *[F.col("_q")[i].alias(f"p{round(x * 100):02d}") for i, x in enumerate(quantiles)])
+    g = df.groupBy(*keys).agg((F.count("*") if count_nulls else F.count(value)).alias("n"), F.min(value).alias("v_min"), F.max(value).alias("v_max"), F.avg(value).alias("v_mean"), F.stddev_samp(value).alias("v_std"))
+    g = with_quantiles(g, df, keys, value, tuple(quantiles))
+    return g.select(*keys, "n", "v_min", "v_max", "v_mean", "v_std", *[F.col("q")[i].alias(f"p{round(x * 100):02d}") for i, x in enumerate(quantiles)])
 
 
 def coverage(df: DataFrame) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .ingest import finite
-from .sizing import checkpointed
+from .quantiles import exact_quantiles, with_quantiles
+from .sizing import checked_side, checkpointed
 
 FLAGS = ("flag_missing_required", "flag_invalid_value", "flag_invalid_unit_range", "flag_duplicate")
 
@@ -22,7 +23,7 @@ def flagged(df: DataFrame, rules: DataFrame, required: list[str], mark_all: bool
     and joined back, so those of a hot key never meet in one task."""
     rules = rules.groupBy(F.lower(F.trim("unit")).alias("_unit")).agg(F.min("min_allowed").alias("_lo"), F.max("max_allowed").alias("_hi"))
     rows = df.drop(*FLAGS).withColumn("_unit", F.regexp_replace(F.lower(F.trim("unit")), "^u_", ""))
-    rows = rows.join(F.broadcast(rules), "_unit", "left").withColumn("_v", finite(F.col("value")))
+    rows = rows.join(checked_side(rules), "_unit", "left").withColumn("_v", finite(F.col("value")))
     missing = reduce(Column.__or__, [F.col(c).isNull() for c in required])
     outside = F.coalesce((F.col("_v") < F.col("_lo")) | (F.col("_v") > F.col("_hi")), F.lit(False))
     if mark_all:
@@ -83,13 +84,13 @@ def invalid_percent(df: DataFrame) -> DataFrame:
 def benchmarks(df: DataFrame, rules: DataFrame, quantiles=(0.01, 0.5, 0.99)) -> DataFrame:
     """Statistics of the finite values of each unit of the rules, zero counts included."""
     rows = df.select(F.regexp_replace(F.lower(F.trim("unit")), "^u_", "").alias("unit"), finite(F.col("value")).alias("v")).filter("v is not null")
-    rules = F.broadcast(rules.select("unit", "min_allowed", "max_allowed"))
+    rules = checked_side(rules.select("unit", "min_allowed", "max_allowed"))
     rows = rows.join(rules, "unit")
     stats = rows.groupBy("unit").agg(
         F.count("*").alias("n"), F.min("v").alias("v_min"), F.max("v").alias("v_max"),
-        *[F.percentile("v", F.lit(q)).alias(f"p{round(q * 100):02d}") for q in quantiles],
         F.count_if(F.col("v") < F.col("min_allowed")).alias("n_low"), F.count_if(F.col("v") > F.col("max_allowed")).alias("n_high"),
     )
+    stats = with_quantiles(stats, rows, ["unit"], "v", tuple(quantiles)).withColumns({f"p{round(q * 100):02d}": F.col("q")[i] for i, q in enumerate(quantiles)}).drop("q")
     out = rules.join(stats, "unit", "left")
     zero = {c: F.coalesce(c, F.lit(0)) for c in ("n", "n_low", "n_high")}
     return out.withColumns(zero).withColumn("invalid_fraction", F.coalesce(F.try_divide((F.col("n_low") + F.col("n_high")).cast("double"), F.col("n")), F.lit(0.0)))
@@ -110,7 +111,7 @@ def problematic(df: DataFrame, keys: list[str], value: str = "value", most_missi
 
 
 def iqr_bounds(df: DataFrame, keys: list[str], value: str = "value", k: float = 1.5) -> DataFrame:
-    q = df.groupBy(*keys).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
+    q = exact_quantiles(df, keys, value, (0.25, 0.75))
     a, b = F.col("q")[0], F.col("q")[1]
     return q.select(*keys, (a - k * (b - a)).alias("lo"), (b + k * (b - a)).alias("hi"))
 

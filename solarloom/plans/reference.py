@@ -200,9 +200,9 @@ def pacf(spark, sf):
 
 @query()
 def stl_decomposition(spark, sf):
-    """Weekly totals of each park, weeks without energy as 0: period 52."""
-    weeks = metrics.periods(energy(spark, sf), "week").withColumnRenamed("period", "day")
-    return decompose.decomposed(weeks, ["park_id"], period=52)
+    """Daily energy of each park, days without energy as 0: period 365."""
+    days = metrics.periods(energy(spark, sf), "day").withColumnRenamed("period", "day")
+    return decompose.decomposed(days, ["park_id"], period=365)
 
 
 @query()
@@ -214,6 +214,11 @@ def stl_degradation(spark, sf):
     return metrics.trend(parts, ["park_id"], "trend").join(held, "park_id")
 
 
+@query(f"SELECT park_id, date_trunc('month', day)::DATE::VARCHAR AS month, median(kwh) AS median FROM ({ENERGY}) GROUP BY 1, 2")
+def monthly_medians(spark, sf):
+    return metrics.monthly_median(energy(spark, sf), ["park_id"], "kwh").withColumn("month", day_text("month"))
+
+
 # ---- against a typical year ------------------------------------------------
 
 

@@ -143,6 +143,31 @@ def test_decomposition_finds_the_slope(spark):
     assert p[1] == pytest.approx(0.7, abs=0.05) and np.abs(p[2:]).max() < 0.06
 
 
+@pytest.mark.parametrize("n, span", [(900, 697), (2500, 367), (300, 367)])
+def test_wide_smoothing_is_the_plain_one(n, span):
+    rng = np.random.default_rng(n)
+    y, w = 1e4 + np.arange(n) + rng.normal(0, 9, n), rng.random(n) * (rng.random(n) > 0.2)
+    assert np.allclose(decompose.loess_wide(y, span, w), decompose.loess(y, span, w), atol=1e-6)
+
+
+@pytest.mark.parametrize("gathered", [50_000, 7])
+def test_exact_quantiles(spark, monkeypatch, gathered):
+    from solarloom.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "GATHERED", gathered)
+    rng = np.random.default_rng(4)
+    groups = {"a": rng.normal(0, 1e6, 300), "b": np.array([5.0] * 40 + [6.0]), None: np.r_[-1e-9, 0.0, 1e-9, 1e300, rng.lognormal(0, 3, 60)], "one": np.array([2.5]), "same": np.zeros(30)}
+    df = spark.createDataFrame([(k, float(v)) for k, x in groups.items() for v in x] + [("none", None), ("a", None)], "k string, v double")
+    qs = (0.0, 0.01, 0.25, 0.5, 0.99, 1.0)
+    got = {r["k"]: r for r in quantiles.exact_quantiles(df, ["k"], "v", qs).collect()}
+    assert set(got) == set(groups)
+    for k, x in groups.items():
+        assert got[k]["n"] == len(x) and got[k]["q"] == pytest.approx(np.quantile(x, qs).tolist(), rel=1e-9, abs=1e-12)
+    whole = quantiles.exact_quantiles(df, [], "v", (0.5,)).first()
+    assert whole["q"][0] == pytest.approx(np.median(np.concatenate(list(groups.values()))))
+    assert quantiles.exact_quantiles(df.limit(0), ["k"], "v", qs).count() == 0
+
+
 def test_every_park_is_decomposed_alone(spark):
     q = entry.queries()
     lines = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_suppkey", "l_quantity", F.to_date("l_shipdate").alias("day")).toPandas()
@@ -150,14 +175,13 @@ def test_every_park_is_decomposed_alone(spark):
     assert set(parts["park_id"]) == {f"s{k}" for k in lines["l_suppkey"]}
     for park, p in parts.groupby("park_id"):
         own = lines[lines["l_suppkey"] == int(park[1:])]
-        weeks = {}
+        days = {}
         for d, kwh in zip(own["day"], own["l_quantity"]):
-            monday = d - dt.timedelta(d.weekday())
-            weeks[monday] = weeks.get(monday, 0.0) + float(kwh)
-        every = [min(weeks) + dt.timedelta(7 * i) for i in range((max(weeks) - min(weeks)).days // 7 + 1)]
-        y = np.array([weeks.get(w, 0.0) for w in every])
+            days[d] = days.get(d, 0.0) + float(kwh)
+        every = [min(days) + dt.timedelta(i) for i in range((max(days) - min(days)).days + 1)]
+        y = np.array([days.get(d, 0.0) for d in every])
         p = p.sort_values("day")
-        assert list(p["day"]) == every and np.allclose(p["value"], y) and np.allclose(p["trend"], decompose.stl(y, 52)[0])
+        assert list(p["day"]) == every and np.allclose(p["value"], y) and np.allclose(p["trend"], decompose.stl(y, 365)[0])
     rates = q["stl_degradation"](spark, SF).toPandas()
     assert sorted(rates["park_id"]) == sorted(set(parts["park_id"])) and rates[["slope", "r2", "annual_pct", "n_low", "n_persistent"]].notna().all(axis=None)
     one = parts[parts["park_id"] == "s1"]
