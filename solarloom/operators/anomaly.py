@@ -22,12 +22,14 @@ def rolling_robust_z(df: DataFrame, value: str, keys: list[str], order: str, win
 
 def robust_score(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
     """Add ``score``: distance from the series' median in MADs; 0 where the MAD
-    is 0.  Two aggregations joined back, no series is gathered."""
-    med = df.groupBy(*keys).agg(F.percentile(value, F.lit(0.5)).alias("_m"))
-    df = df.join(med, keys)
-    mad = df.groupBy(*keys).agg(F.percentile(F.abs(F.col(value) - F.col("_m")), F.lit(0.5)).alias("_mad"))
+    is 0.  One shuffle by series, for series of one value a day, whose length is
+    bounded by time."""
+    series = W.partitionBy(*keys)
+    median = lambda c: F.percentile(c, F.lit(0.5)).over(series)
+    df = df.withColumn("_m", median(value))
+    df = df.withColumn("_mad", median(F.abs(F.col(value) - F.col("_m"))))
     score = F.coalesce(F.try_divide(F.col(value) - F.col("_m"), F.col("_mad") * MAD), F.lit(0.0))
-    return df.join(mad, keys).withColumn("score", F.when(F.col(value).isNotNull(), score)).drop("_m", "_mad")
+    return df.withColumn("score", F.when(F.col(value).isNotNull(), score)).drop("_m", "_mad")
 
 
 def tail_flag(score: Column, at: float) -> Column:

@@ -58,3 +58,17 @@ def thinned(df: DataFrame, keys: list[str], order: list[str], most: int) -> Data
 
 def by_park(df: DataFrame) -> DataFrame:
     return df.groupBy("park_id").agg(F.min("park_capacity_kwp").alias("capacity_kwp"), F.count("value").alias("n_values"), F.countDistinct("signal_name").alias("n_signals"))
+
+
+def hash_sample(df: DataFrame, key: str, share: float) -> DataFrame:
+    """Rows whose key's hash falls into a share of all hashes: the same rows on
+    every run, and all copies of a key or none.  Null keys are not sampled."""
+    first = F.conv(F.substring(F.sha2(F.col(key).cast("string"), 256), 1, 8), 16, 10).cast("long")
+    return df.filter(first < int(share * 2**32))
+
+
+def describe_columns(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``column_name, n, n_distinct, mean, std, least, most`` of numeric columns."""
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column_name", "v")
+    v = F.col("v")
+    return long.groupBy("column_name").agg(F.count(v).alias("n"), F.countDistinct(v).alias("n_distinct"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("least"), F.max(v).alias("most"))

@@ -49,6 +49,11 @@ def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter(~any_flag()), df.filter(any_flag())
 
 
+def flag_counts(df: DataFrame) -> DataFrame:
+    """One row: all rows, those of each flag, and those of any."""
+    return df.agg(F.count("*").alias("n_rows"), *[F.count_if(F.col(f)).alias(f) for f in FLAGS], F.count_if(any_flag()).alias("n_flagged"))
+
+
 def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key, the last by ``order`` (ties by the whole row); aggregated, not sorted."""
     rest = [c for c in df.columns if c not in keys]

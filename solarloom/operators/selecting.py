@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .quality import any_flag
 
+# The fact's columns, by what they tell.
 MEASUREMENT = ["ts_local", "ts_utc", "interval_start_date", "park_id", "park_capacity_kwp", "signal_name", "unit", "value"]
 QUALITY = ["flag_missing_required", "flag_invalid_value", "flag_invalid_unit_range", "flag_duplicate"]
 LINEAGE = ["source_file", "source_file_hash", "run_id", "ingested_at_utc", "ingest_key", "prepared_at_utc"]
@@ -81,3 +83,20 @@ def last_days(df: DataFrame, n: int, day: str = "interval_start_date") -> DataFr
 def members(df: DataFrame, dim: DataFrame, key: str = "park_id") -> DataFrame:
     """Rows whose key is in the dimension; Spark picks the join by the side's size."""
     return df.join(dim.select(key).distinct(), key, "left_semi")
+
+
+def in_season(day: str, start: tuple[int, int], end: tuple[int, int]) -> Column:
+    """Days from (month, day) to (month, day) of any year, both in; a season may
+    run over the turn of the year.  So a range meets a reference of one year."""
+    at, a, z = F.month(day) * 100 + F.dayofmonth(day), start[0] * 100 + start[1], end[0] * 100 + end[1]
+    return at.between(a, z) if a <= z else (at >= a) | (at <= z)
+
+
+def with_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Exactly these columns with these types; those that the table lacks are null."""
+    return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in columns.items()])
+
+
+def columns_like(df: DataFrame, pattern: str) -> list[str]:
+    """Names of the columns that match, in the table's order."""
+    return [c for c in df.columns if re.search(pattern, c)]

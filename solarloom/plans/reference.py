@@ -362,7 +362,10 @@ def unit_benchmarks(spark, sf):
     return out.withColumns({c: f32(c) for c in ("p01", "p50", "p99")})
 
 
-_COLUMNS = ["ts_local", "ts_utc", "interval_start_date", "park_id", "park_capacity_kwp", "signal_name", "unit", "value", "run_id", "flag_missing_required", "flag_duplicate"]
+_COLUMNS = [
+    "ts_local", "ts_utc", "interval_start_date", "year", "month", "park_id", "park_capacity_kwp", "signal_name", "unit", "value", "source_file", "source_file_hash", "run_id",
+    "ingested_at_utc", "ingest_key", "prepared_at_utc", "flag_missing_required", "flag_invalid_value", "flag_invalid_unit_range", "flag_duplicate",
+]
 
 
 @query("SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS n_missing, round(count(*) FILTER ({c} IS NULL) * 100.0 / count(*), 4)::DOUBLE AS pct_missing FROM silver_prepair" for c in _COLUMNS) + ") WHERE n_missing > 0")
@@ -649,7 +652,7 @@ def abbreviated_names(spark, sf):
     return table(spark, sf, "part").select("p_partkey", naming.abbreviated(naming.snake_case(F.col("p_name"))).alias("short"))
 
 
-@query()
+@query("""SELECT strftime(ts::DATE, '%Y-%m-%d 00:00:00') AS at, event_type, count(*) AS n, sum(CAST(value AS DECIMAL(18,4)))::DOUBLE AS total FROM events GROUP BY ts::DATE, event_type""")
 def stream_quality_counts(spark, sf):
     from ..streaming.ingest import drain
 

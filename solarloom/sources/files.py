@@ -50,6 +50,25 @@ def inbox(spark: SparkSession, folder: str, least_age_s: int = 0, now_s: float |
     return ready.select("path", "length", "modificationTime", F.sha2("content", 256).alias("source_file_hash")).orderBy("modificationTime", "path")
 
 
+def listing(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
+    """``path, length, modificationTime`` of the files below a folder; no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(folder)
+    return files.select("path", "length", "modificationTime")
+
+
+def settled(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Files of two listings, some seconds apart, that did not change between them."""
+    return after.join(before, ["path", "length", "modificationTime"], "left_semi")
+
+
+def first_files(paths: DataFrame, n: int, year: int | None = None) -> DataFrame:
+    """The first ``n`` paths by name, of one year where asked."""
+    rows = paths.select("path").distinct()
+    if year is not None:
+        rows = rows.filter(F.col("path").contains(str(year)))
+    return rows.orderBy("path").limit(n)
+
+
 def partitions(table: DataFrame) -> DataFrame:
     """Files, bytes and rows of each month partition, from file metadata."""
     rows = table.select("year", "month", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"))
