@@ -76,8 +76,8 @@ def energy_cells(silver: DataFrame, signal: str) -> DataFrame:
 
 
 def rolling_energy(silver: DataFrame, signal: str = "pcc_active_energy_export") -> DataFrame:
-    """Totals and daily averages of each park, day and trailing period."""
-    out = rolled(energy_cells(silver, signal), ["park_id"])
+    """Totals (to the watt hour) and daily averages of each park, day and trailing period."""
+    out = rolled(energy_cells(silver, signal), ["park_id"]).withColumn("total", F.round("total", 3))
     return out.select("park_id", F.date_from_unix_date("day").cast("string").alias("interval_day"), "period_days", "total", "days_in_period", (F.col("total") / F.col("days_in_period")).alias("daily_average"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import gridding, instants, rolling, spikes, units_op, wide
 from ..sources.tables import table
@@ -33,7 +34,8 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_converted(spark: SparkSession, sf: str) -> DataFrame:
-    return units_op.converted(_silver(spark, sf))
+    rows = units_op.converted(_silver(spark, sf))
+    return rows.select("ingest_key", "park_id", F.col("interval_start_date").cast("string").alias("interval_day"), F.col("signal").alias("signal_name"), "common", "is_reading")
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,7 +51,7 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p6_wide(spark: SparkSession, sf: str) -> DataFrame:
-    return wide.wide_days(_silver(spark, sf))
+    return wide.wide_days(_silver(spark, sf)).withColumn("contradictory", F.array_join("contradictory", ","))
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_rolling, p2_found, p2_grid, p3_found, p3_converted, p4_found, p5_found, p6_found, p6_wide)}
@@ -64,10 +66,10 @@ _READING = f"""SELECT park_id, {_PLAIN} AS signal_name, interval_start_date AS d
 
 # Common units for the SQL side, written out on its own: target -> unit text -> factor, offset.
 _UNITS = {
-    "kwh": {"kwh kw*h": "1, 0", "wh": "0.001, 0", "mwh": "1000, 0", "gwh": "1000000, 0", "mj": "1 / 3.6, 0", "gj": "1000 / 3.6, 0"},
+    "kwh": {"kwh kw*h": "1, 0", "wh": "0.001, 0", "mwh": "1000, 0", "gwh": "1000000, 0", "mj": "10 / 36.0, 0", "gj": "10000 / 36.0, 0"},
     "kw": {"kw": "1, 0", "w watt": "0.001, 0", "mw": "1000, 0"},
     "w_m_2": {"w_m_2 w/m2 w/m² w*m^-2": "1, 0", "kw_m_2 kw/m2 kw/m² kw*m^-2": "1000, 0", "mw_cm2 mw/cm2 mw/cm²": "10, 0"},
-    "m_s_1": {"m_s_1 m/s m*s^-1": "1, 0", "km_h km/h": "1 / 3.6, 0", "knots knot kn": "1852 / 3600.0, 0", "mph": "0.44704, 0"},
+    "m_s_1": {"m_s_1 m/s m*s^-1": "1, 0", "km_h km/h": "10 / 36.0, 0", "knots knot kn": "1852 / 3600.0, 0", "mph": "0.44704, 0"},
     "c": {"c degc °c celsius": "1, 0", "k": "1, -273.15", "f °f degf fahrenheit": "5 / 9.0, -160 / 9.0"},
     "fraction": {"fraction pct p.u.": "1, 0", "percent %": "0.01, 0", "permille": "0.001, 0"},
 }
@@ -107,7 +109,23 @@ t AS (SELECT *, timezone(zone, ca) = wall AS va, timezone(zone, cb) = wall AS vb
 i AS (SELECT ingest_key, ts_utc, CASE WHEN off IS NOT NULL THEN timezone('UTC', wall - to_minutes(off)) WHEN va THEN ca WHEN vb THEN cb ELSE timezone('UTC', date_trunc('hour', wall) - to_minutes(a)) END AS first_at,
  CASE WHEN off IS NULL AND va AND vb THEN cb END AS other FROM t)"""
 
+_IS_DAILY = "(sig IN ('pcc_active_energy_export', 'pcc_active_energy_import', 'average_irradiance', 'availability', 'soiling_ratio', 'fault_count', 'breaker_state') OR regexp_matches(sig, '^inverter_\\d+_energy$'))"
+_DIFFERS = "max(common) - min(common) > 0.001 * greatest(abs(max(common)), abs(min(common)))"
+
 SQL: dict[str, str] = {
+    "p1_rolling": f"""WITH {_COMMON}, e AS (SELECT park_id, interval_start_date AS d, arg_max(common, (coalesce(run_id, ''), coalesce(ingest_key, ''), common)) AS v FROM c WHERE sig = 'pcc_active_energy_export' GROUP BY 1, 2),
+p AS (SELECT park_id, min(d) AS a, max(d) AS z FROM e GROUP BY 1), days AS (SELECT park_id, a, unnest(generate_series(a, z, INTERVAL 1 DAY))::DATE AS d FROM p),
+f AS (SELECT days.park_id, a, days.d, coalesce(v, 0) AS v FROM days LEFT JOIN e USING (park_id, d)),
+w AS (SELECT park_id, d, 7::INT AS n, round(sum(v) OVER (PARTITION BY park_id ORDER BY d ROWS 6 PRECEDING), 3) AS total, least(7, d - a + 1)::INT AS days_in_period FROM f
+ UNION ALL SELECT park_id, d, 30::INT, round(sum(v) OVER (PARTITION BY park_id ORDER BY d ROWS 29 PRECEDING), 3), least(30, d - a + 1)::INT FROM f)
+SELECT park_id, strftime(d, '%Y-%m-%d') AS interval_day, n AS period_days, total, days_in_period, total / days_in_period AS daily_average FROM w""",
+    "p3_converted": f"""WITH {_COMMON}, every AS (SELECT ingest_key, park_id, interval_start_date, sig, common, true AS is_reading FROM c UNION ALL
+SELECT ingest_key, park_id, interval_start_date, nullif(regexp_replace(sig, '^_+|_+$', '', 'g'), ''), NULL, false FROM n WHERE park_id IS NULL OR sig IS NULL OR interval_start_date IS NULL OR value IS NULL OR NOT isfinite(value))
+SELECT ingest_key, park_id, interval_start_date::VARCHAR AS interval_day, sig AS signal_name, common, is_reading FROM every""",
+    "p6_wide": f"""SELECT * REPLACE (fault_count::BIGINT AS fault_count, breaker_state::BIGINT AS breaker_state) FROM (PIVOT (WITH {_COMMON},
+cells AS (SELECT park_id, strftime(interval_start_date, '%Y-%m-%d') AS interval_day, sig, arg_max(common, (coalesce(run_id, ''), coalesce(ingest_key, ''), common)) AS v, {_DIFFERS} AS differs FROM c WHERE {_IS_DAILY} GROUP BY 1, 2, 3),
+marks AS (SELECT park_id, interval_day, coalesce(string_agg(sig, ',' ORDER BY sig) FILTER (differs), '') AS contradictory FROM cells GROUP BY 1, 2)
+SELECT park_id, interval_day, contradictory, sig, v FROM cells JOIN marks USING (park_id, interval_day)) ON sig USING first(v) GROUP BY park_id, interval_day, contradictory)""",
     "p1_found": f"""
 WITH r AS ({_READING}), e AS (SELECT * FROM r WHERE signal_name = 'pcc_active_energy_export'),
 p AS (SELECT park_id, min(d) AS a, max(d) AS z FROM e GROUP BY 1),

@@ -507,26 +507,30 @@ def downsample(spark, sf):
 
 # ---- reshaping and names ---------------------------------------------------
 
-_SIGNALS = ["pcc_active_energy_export", "average_irradiance", "availability", "fault_count"]
+
+
+def _named(spark, sf) -> tuple[DataFrame, list[str]]:
+    """Readings under plain lower-case names, and the names: the pivot's columns."""
+    rows = readings(spark, sf).withColumn("signal", F.lower(F.trim("signal_name")))
+    return rows, sorted(r[0] for r in rows.select("signal").distinct().collect())
 
 
 def _pivot_sql(cell: str) -> str:
-    cells = ", ".join(f"{cell.format(s=s)} AS {s}" for s in _SIGNALS)
-    return f"SELECT park_id, interval_start_date::VARCHAR AS day, {cells} FROM ({READ}) WHERE signal_name IN ({', '.join(repr(s) for s in _SIGNALS)}) GROUP BY 1, 2"
+    return f"PIVOT (SELECT park_id, interval_start_date::VARCHAR AS day, lower(trim(signal_name)) AS signal, value, run_id, ingest_key FROM ({READ})) ON signal USING {cell} GROUP BY park_id, day"
 
 
-@query(_pivot_sql(s32("avg(value) FILTER (signal_name = '{s}')")))
+@query(_pivot_sql(s32("avg(value)")))
 def to_wide_mean(spark, sf):
-    rows = readings(spark, sf).filter(F.col("signal_name").isin(_SIGNALS))
-    out = reshape.to_wide(rows, ["park_id", "interval_start_date"], "signal_name", _SIGNALS)
-    return out.select("park_id", day_text("interval_start_date").alias("day"), *[f32(s).alias(s) for s in _SIGNALS])
+    rows, names = _named(spark, sf)
+    out = reshape.to_wide(rows, ["park_id", "interval_start_date"], "signal", names)
+    return out.select("park_id", day_text("interval_start_date").alias("day"), *[f32(f"`{s}`").alias(s) for s in names])
 
 
-@query(_pivot_sql("arg_min(value, (run_id, ingest_key, value)) FILTER (signal_name = '{s}')"))
+@query(_pivot_sql("arg_min(value, (run_id, ingest_key, value))"))
 def to_wide_first(spark, sf):
-    rows = readings(spark, sf).filter(F.col("signal_name").isin(_SIGNALS))
-    out = reshape.to_wide(rows, ["park_id", "interval_start_date"], "signal_name", _SIGNALS, how="first", order=["run_id", "ingest_key"])
-    return out.select("park_id", day_text("interval_start_date").alias("day"), *_SIGNALS)
+    rows, names = _named(spark, sf)
+    out = reshape.to_wide(rows, ["park_id", "interval_start_date"], "signal", names, how="first", order=["run_id", "ingest_key"])
+    return out.select("park_id", day_text("interval_start_date").alias("day"), *[F.col(f"`{s}`") for s in names])
 
 
 @query(f"""SELECT day::VARCHAR AS day, 'p' || k AS key, v AS value FROM (SELECT ts::DATE AS day, {', '.join(f"sum(CASE WHEN user_id % 5 = {k} THEN CAST(value AS DECIMAL(18,4)) END)::DOUBLE AS p{k}" for k in range(5))} FROM events GROUP BY 1)
