@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 #: ``park__<int>_kwp__signal[__unit]``; the unit may be missing.
 HEADER = r"^(.+?)__(\d+)_kwp__(.+?)(?:__([^_].*?))?$"
-CAPACITY = r"(\d+(?:[.,_]\d+)?)[\s_]*(k|m)wp?"
+#: A capacity in a label is a number, a gap, and a unit of power with or without "peak".
+NUMBER, GAP, POWER = r"(\d+(?:[.,_]\d+)?)", r"[\s_]*", r"(k|m)wp?"
+CAPACITY = NUMBER + GAP + POWER
 TIME_COLUMNS = ("ts", "timestamp", "time", "datetime")
 
 
@@ -62,6 +64,44 @@ def distinct_words(text: Column) -> Column:
     return F.array_join(F.array_distinct(F.split(F.lower(text), "_")), "_")
 
 
+def without_park(words: list[str], park: list[str]) -> list[str]:
+    """A signal's words without the park's that lead them, in one of three forms:
+    the park as one compound word (``alphasun``), word by word, or the park's
+    letters spread over other words (``alpha sunpower`` after ``alpha sun power``).
+    Words that would leave nothing stay."""
+    if not park:
+        return words
+    joined = "".join(park)
+    if words and words[0] == joined and len(words) > 1:
+        return words[1:]
+    k = 0
+    while k < min(len(words), len(park)) and words[k] == park[k]:
+        k += 1
+    if k:
+        return words[k:] or words
+    text = ""
+    for k, w in enumerate(words[:-1]):
+        text += w
+        if text == joined:
+            return words[k + 1 :]
+        if not joined.startswith(text):
+            break
+    return words
+
+
+def slug(text: str) -> str:
+    """Lower-case ASCII words joined by ``_``; for reasons and labels in file names."""
+    plain = unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode().lower()
+    return re.sub("[^a-z0-9]+", "_", plain).strip("_")
+
+
+def file_name(text: str, most: int = 120) -> str:
+    """A name that every file system takes: other characters become ``_``; case,
+    dots and dashes stay; never empty."""
+    plain = unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode()
+    return re.sub(r"[^A-Za-z0-9._-]+", "_", plain).strip("._ ")[:most] or "unnamed"
+
+
 def sanitized(header: str, parks: dict[str, float] | None = None) -> str:
     """Column name for a vendor header such as ``[Park 805 KWp] Park Signal (kWh)``.
 
@@ -82,9 +122,7 @@ def sanitized(header: str, parks: dict[str, float] | None = None) -> str:
     if kwp is None and cap:
         kwp = float(re.sub("[,_]", ".", cap[1])) * (1000 if cap[2] == "m" else 1)
     words = [w for w in snake(re.sub(CAPACITY, " ", rest.lower())).split("_") if w]
-    lead = bare.split("_")
-    while words and lead and words[0] == lead[0]:
-        words, lead = words[1:], lead[1:]
+    words = without_park(words, bare.split("_"))
     unit = "pct" if unit == "%" else snake(unit.replace("^-", " "))
     parts = [bare, f"{round(kwp)}_kwp" if kwp else "", "_".join(words), unit]
     return "__".join(p for p in parts if p)

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.ingest import append_monthly
-from .operators.quality import FLAGS, any_flag, flagged, new_keys, split
+from .operators.quality import FLAGS, any_flag, benchmarks, flagged, new_keys, split
 from .operators.sizing import checkpointed
-from .sinks.control import Watermark, existing
+from .sinks.control import Mappings, Watermark, existing, next_version, write_with_sidecar
 from .sources.files import new_files
 
 REQUIRED = ["ts_utc", "park_id", "signal_name", "ingest_key"]
@@ -52,3 +52,12 @@ def validate_new_runs(spark: SparkSession, logs: DataFrame, rules: DataFrame, fo
         append_monthly(good, f"{folder}/fact")
     watermark.commit(runs)
     return Outcome(len(runs), n["n"], n["bad"], appended, accepted, {f: n[f] for f in FLAGS})
+
+
+def unit_report(silver: DataFrame, rules: DataFrame, folder: str, mappings: Mappings | None = None) -> str:
+    """Statistics of the values of each unit against its rules, written as the
+    next version of a report with the mapping in force beside it.  Its path."""
+    path = next_version(folder, "unit_report")
+    current = mappings.current() if mappings else None
+    write_with_sidecar(benchmarks(silver, rules), path, rules=rules.count(), mapping=current and current[0], mapping_sha256=current and current[1])
+    return path

@@ -19,9 +19,11 @@ def shared_folder(spark: SparkSession) -> str:
     is made; on a cluster other machines could not see it, so that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
     sc = spark.sparkContext
+    if folder:
+        store = sc._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+        # A path without scheme lies on the cluster's default file system, for us as for Spark.
+        return (folder if ":" in folder.split("/")[0] or store.startswith("file:") else store.rstrip("/") + folder).rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if _OWN.get(sc.applicationId) is None:

@@ -57,6 +57,35 @@ def test_names(spark):
     assert tuple(parts) == ("a_b", 97.0, "active_power", None)
 
 
+def test_parks_in_front_of_signals():
+    f = naming.without_park
+    assert f(["alphasun", "active", "power"], ["alpha", "sun"]) == ["active", "power"] and f(["alpha", "active", "power"], ["alpha", "sun"]) == ["active", "power"]
+    assert f(["al", "phasun", "power"], ["alpha", "sun"]) == ["power"] and f(["alpha"], ["alpha"]) == ["alpha"] and f(["power"], ["alpha"]) == ["power"] and f([], ["a"]) == []
+    assert naming.slug(" No time: κ? Spalte É ") == "no_time_spalte_e" and naming.file_name("a/b: c.csv") == "a_b_c.csv" and naming.file_name("///") == "unnamed"
+
+
+def test_reports_and_listings(spark, silver, tmp_path):
+    from solarloom.config import Settings, Workspace
+    from solarloom.jobs import unit_report
+    from solarloom.operators import composed
+
+    rules = spark.createDataFrame([("pct", 0.0, 1.0)], "unit string, min_allowed double, max_allowed double")
+    path = unit_report(silver([{"unit": "pct", "value": 0.5}]), rules, str(tmp_path / "reports"))
+    assert path.endswith("unit_report_v001") and json.loads((tmp_path / "reports" / "unit_report_v001.meta.json").read_text())["rules"] == 1
+    assert unit_report(silver([{"unit": "pct", "value": 0.5}]), rules, str(tmp_path / "reports")).endswith("_v002")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("1")
+    (tmp_path / "in" / "b.csv").write_text("1")
+    before = files.listing(spark, str(tmp_path / "in"), "*.csv").collect()
+    (tmp_path / "in" / "b.csv").write_text("12")
+    after = files.listing(spark, str(tmp_path / "in"), "*.csv")
+    assert [r["path"][-5:] for r in files.settled(spark.createDataFrame(before, after.schema), after).collect()] == ["a.csv"]
+    with pytest.raises(ValueError):
+        composed.unique(spark.createDataFrame([("p",), ("p",)], "park_id string"), "park_id")
+    assert selecting.columns_like(silver([]), "^flag_") == list(quality.FLAGS)
+    assert Workspace("/data/").dataset("solar")["fact"] == "/data/solar/fact" and "ingest_key" in Settings().required
+
+
 def test_melt(spark):
     wide = spark.createDataFrame(
         [("2024-01-01 00:00:00", "5", "x"), ("01/03/2024 00:00", None, "2.5"), ("never", "1", "1"), ("2024-02-29 00:00:00", "NaN", "7")],
