@@ -75,7 +75,7 @@ _UNITS = {
 }
 _CONV = ", ".join(f"('{t}', '{u}', {f})" for t, units in _UNITS.items() for us, f in units.items() for u in us.split())
 _TAIL = "_{1,2}(kwh|wh|mwh|gwh|mj|gj|kw_m_2|w_m_2|mw_cm2|watt|kw|mw|w|m_s_1|km_h|knots|knot|kn|mph|celsius|degc|c|kelvin|k|fahrenheit|degf|f|fraction|percent|permille|pct)$"
-_COMMON = rf"""conv(t, u, a, b) AS (VALUES {_CONV}),
+COMMON = rf"""conv(t, u, a, b) AS (VALUES {_CONV}),
 n AS (SELECT *, {_PLAIN} AS sig, lower(trim(signal_name)) AS low, regexp_replace(regexp_replace(lower(coalesce(unit, '')), '\s+', '', 'g'), '^u_+', '') AS own FROM silver_prepair),
 m AS (SELECT *, replace(CASE WHEN regexp_matches(low, '[\)\]]$') THEN regexp_extract(low, '[\(\[]\s*(.*?)\s*[\)\]]$', 1) ELSE regexp_extract(low, '^(.+?){_TAIL}', 2) END, ' ', '') AS ins,
  CASE WHEN sig LIKE '%energy%' THEN 'kwh' WHEN sig LIKE '%power%' THEN 'kw' WHEN sig LIKE '%irradiance%' THEN 'w_m_2' WHEN sig IN ('availability', 'soiling_ratio') THEN 'fraction' WHEN sig LIKE '%temperature%' THEN 'c' WHEN sig LIKE '%wind_speed%' THEN 'm_s_1' END AS t,
@@ -88,7 +88,7 @@ x AS (SELECT *, CASE WHEN sig IN ('availability', 'soiling_ratio') THEN CASE WHE
 c AS (SELECT l.*, lab * CASE e WHEN 2 THEN 0.01 WHEN 3 THEN 0.001 WHEN -3 THEN 1000 ELSE 1 END AS common FROM l LEFT JOIN x USING (park_id, sig, run_id, mo))"""
 
 # Time texts on the SQL side: one format for each layout, offsets a day before and after tell gaps and overlaps.
-_INSTANTS = r"""z AS (SELECT park_id, coalesce((SELECT any_value(name) FROM pg_timezone_names() WHERE lower(name) = lower(trim(timezone))),
+INSTANTS = r"""z AS (SELECT park_id, coalesce((SELECT any_value(name) FROM pg_timezone_names() WHERE lower(name) = lower(trim(timezone))),
  CASE lower(trim(timezone)) WHEN 'w. europe standard time' THEN 'Europe/Berlin' WHEN 'gtb standard time' THEN 'Europe/Bucharest' ELSE 'Europe/Athens' END) AS zone
  FROM (SELECT * FROM park_metadata WHERE park_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY park_id ORDER BY line_no DESC) = 1)),
 r AS (SELECT ingest_key, ts_utc, trim(ts_local) AS x, coalesce(zone, 'Europe/Athens') AS zone FROM silver_prepair LEFT JOIN z USING (park_id) WHERE park_id IS NOT NULL),
@@ -113,16 +113,16 @@ _IS_DAILY = "(sig IN ('pcc_active_energy_export', 'pcc_active_energy_import', 'a
 _DIFFERS = "max(common) - min(common) > 0.001 * greatest(abs(max(common)), abs(min(common)))"
 
 SQL: dict[str, str] = {
-    "p1_rolling": f"""WITH {_COMMON}, e AS (SELECT park_id, interval_start_date AS d, arg_max(common, (coalesce(run_id, ''), coalesce(ingest_key, ''), common)) AS v FROM c WHERE sig = 'pcc_active_energy_export' GROUP BY 1, 2),
+    "p1_rolling": f"""WITH {COMMON}, e AS (SELECT park_id, interval_start_date AS d, arg_max(common, (coalesce(run_id, ''), coalesce(ingest_key, ''), common)) AS v FROM c WHERE sig = 'pcc_active_energy_export' GROUP BY 1, 2),
 p AS (SELECT park_id, min(d) AS a, max(d) AS z FROM e GROUP BY 1), days AS (SELECT park_id, a, unnest(generate_series(a, z, INTERVAL 1 DAY))::DATE AS d FROM p),
 f AS (SELECT days.park_id, a, days.d, coalesce(v, 0) AS v FROM days LEFT JOIN e USING (park_id, d)),
 w AS (SELECT park_id, d, 7::INT AS n, round(sum(v) OVER (PARTITION BY park_id ORDER BY d ROWS 6 PRECEDING), 3) AS total, least(7, d - a + 1)::INT AS days_in_period FROM f
  UNION ALL SELECT park_id, d, 30::INT, round(sum(v) OVER (PARTITION BY park_id ORDER BY d ROWS 29 PRECEDING), 3), least(30, d - a + 1)::INT FROM f)
 SELECT park_id, strftime(d, '%Y-%m-%d') AS interval_day, n AS period_days, total, days_in_period, total / days_in_period AS daily_average FROM w""",
-    "p3_converted": f"""WITH {_COMMON}, every AS (SELECT ingest_key, park_id, interval_start_date, sig, common, true AS is_reading FROM c UNION ALL
+    "p3_converted": f"""WITH {COMMON}, every AS (SELECT ingest_key, park_id, interval_start_date, sig, common, true AS is_reading FROM c UNION ALL
 SELECT ingest_key, park_id, interval_start_date, nullif(regexp_replace(sig, '^_+|_+$', '', 'g'), ''), NULL, false FROM n WHERE park_id IS NULL OR sig IS NULL OR interval_start_date IS NULL OR value IS NULL OR NOT isfinite(value))
 SELECT ingest_key, park_id, interval_start_date::VARCHAR AS interval_day, sig AS signal_name, common, is_reading FROM every""",
-    "p6_wide": f"""SELECT * REPLACE (fault_count::BIGINT AS fault_count, breaker_state::BIGINT AS breaker_state) FROM (PIVOT (WITH {_COMMON},
+    "p6_wide": f"""SELECT * REPLACE (fault_count::BIGINT AS fault_count, breaker_state::BIGINT AS breaker_state) FROM (PIVOT (WITH {COMMON},
 cells AS (SELECT park_id, strftime(interval_start_date, '%Y-%m-%d') AS interval_day, sig, arg_max(common, (coalesce(run_id, ''), coalesce(ingest_key, ''), common)) AS v, {_DIFFERS} AS differs FROM c WHERE {_IS_DAILY} GROUP BY 1, 2, 3),
 marks AS (SELECT park_id, interval_day, coalesce(string_agg(sig, ',' ORDER BY sig) FILTER (differs), '') AS contradictory FROM cells GROUP BY 1, 2)
 SELECT park_id, interval_day, contradictory, sig, v FROM cells JOIN marks USING (park_id, interval_day)) ON sig USING first(v) GROUP BY park_id, interval_day, contradictory)""",
@@ -139,10 +139,10 @@ UNION ALL SELECT park_id, strftime(d, '%Y-%m-%d'), 30::INT FROM w WHERE s30 = 0
 WITH r AS ({_READING}), p AS (SELECT park_id, signal_name, min(d) AS a, max(d) AS z FROM r GROUP BY 1, 2),
 days AS (SELECT park_id, signal_name, unnest(generate_series(a, z, INTERVAL 1 DAY))::DATE AS d FROM p)
 SELECT park_id, signal_name, strftime(d, '%Y-%m-%d') AS interval_day FROM days ANTI JOIN r USING (park_id, signal_name, d)""",
-    "p3_found": f"WITH {_COMMON} SELECT DISTINCT ingest_key FROM c WHERE common <> value",
-    "p6_found": f"""WITH {_COMMON} SELECT park_id, strftime(interval_start_date, '%Y-%m-%d') AS interval_day, sig AS signal_name FROM c
+    "p3_found": f"WITH {COMMON} SELECT DISTINCT ingest_key FROM c WHERE common <> value",
+    "p6_found": f"""WITH {COMMON} SELECT park_id, strftime(interval_start_date, '%Y-%m-%d') AS interval_day, sig AS signal_name FROM c
  WHERE sig IN ('pcc_active_energy_export', 'pcc_active_energy_import', 'average_irradiance', 'availability', 'soiling_ratio', 'fault_count', 'breaker_state') OR regexp_matches(sig, '^inverter_\\d+_energy$')
  GROUP BY 1, 2, 3 HAVING max(common) - min(common) > 0.001 * greatest(abs(max(common)), abs(min(common)))""",
-    "p5_found": f"""WITH {_INSTANTS} SELECT DISTINCT ingest_key, floor(epoch_us(first_at) / 1000000)::BIGINT AS utc_s FROM i
+    "p5_found": f"""WITH {INSTANTS} SELECT DISTINCT ingest_key, floor(epoch_us(first_at) / 1000000)::BIGINT AS utc_s FROM i
  WHERE ts_utc IS NULL OR (abs(epoch_us(ts_utc) - epoch_us(first_at)) > 1000000 AND (other IS NULL OR abs(epoch_us(ts_utc) - epoch_us(other)) > 1000000))""",
 }

@@ -240,3 +240,16 @@ def test_own_noise_is_told_from_innovations():
     assert f[0] == 1.0 and 1.8 < f[1] <= 3.2 and f[2] == 1.0
     v = innovation_variance(np.array([0, 1, 2, 3, 4, 5, 7, 8]), np.array([2.0, 2, 2, 2, 2, 3, 3, 3]), 5)
     assert v[4] == 0 and 0 < v[5] < np.inf and np.isinf(v[[0, 3, 6, 7]]).all()
+
+
+def test_a_series_is_imputed_alike_whatever_its_neighbours():
+    rng = np.random.default_rng(6)
+    x = 50 + np.cumsum(rng.normal(0, 1, (40, 120)), axis=1)
+    x[rng.random(x.shape) < 0.15] = np.nan
+    x[:, 50:65] = np.nan
+    lengths = rng.integers(70, 121, 40)
+    x[np.arange(120) >= lengths[:, None]] = np.nan
+    together = impute(x, lengths)
+    for i in (0, 7, 39):
+        alone = impute(x[i : i + 1, : lengths[i]], lengths[i : i + 1])[0]
+        assert np.allclose(alone, together[i, : lengths[i]], rtol=1e-6, atol=1e-6, equal_nan=True)
