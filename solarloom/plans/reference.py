@@ -193,9 +193,17 @@ def acf(spark, sf):
     return rows.select("park_id", "lag", F.round("acf", 6).alias("acf"))
 
 
-@query()
+@query(f"""WITH RECURSIVE m AS ({MONTHLY}), c AS (SELECT park_id, row_number() OVER (PARTITION BY park_id ORDER BY period) AS i, kwh - avg(kwh) OVER (PARTITION BY park_id) AS d, count(*) OVER (PARTITION BY park_id) AS n FROM m),
+ v AS (SELECT park_id, sum(d * d) AS v FROM c GROUP BY 1),
+ a AS (SELECT a.park_id, b.i - a.i AS lag, sum(a.d * b.d) / any_value(v.v) AS acf FROM c a JOIN c b ON a.park_id = b.park_id AND b.i - a.i BETWEEN 0 AND least(20, a.n // 2) JOIN v ON v.park_id = a.park_id GROUP BY 1, 2),
+ r AS (SELECT park_id, list(acf ORDER BY lag) AS r, max(lag) AS n FROM a GROUP BY 1),
+ l AS (SELECT park_id, r, n, 0::BIGINT AS k, []::DOUBLE[] AS phi, 1.0::DOUBLE AS last FROM r UNION ALL
+ SELECT park_id, r, n, k + 1, list_append(list_transform(phi, lambda x, i: x - z * phi[len(phi) - i + 1]), z), z FROM
+ (SELECT *, (r[k + 2] - CASE WHEN k = 0 THEN 0 ELSE list_dot_product(phi, list_reverse(r[2:k + 1])) END) / (1 - CASE WHEN k = 0 THEN 0 ELSE list_dot_product(phi, r[2:k + 1]) END) AS z FROM l WHERE k < n))
+ SELECT park_id, k::INT AS lag, round(last, 6) AS pacf FROM l""")
 def pacf(spark, sf):
-    return decompose.correlations(monthly(spark, sf), ["park_id"], order="period").select("park_id", "lag", "pacf")
+    rows = decompose.correlations(monthly(spark, sf), ["park_id"], order="period")
+    return rows.select("park_id", "lag", F.round("pacf", 6).alias("pacf"))
 
 
 @query()
