@@ -6,9 +6,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..operators import anomaly, composed, ingest, matching, profile, quality, reference_day, reshape, selecting
+from ..operators import anomaly, composed, ingest, instants, matching, profile, quality, reference_day, reshape, selecting
 from ..sources import files
 from ..sources.tables import latest_lines, table
+from .domain import INSTANTS
 from .reference import ANY, ENERGY, FINITE, FLAGGED, META, MONTHLY, READ, TYPICAL, day_text, energy, f32, monthly, query, readings, s32, silver
 
 FIRST, LAST = dt.date(1994, 1, 1), dt.date(1996, 12, 31)
@@ -82,6 +83,15 @@ def known_parks(spark, sf):
     return composed.known_or_null(silver(spark, sf).select("ingest_key", "park_id"), table(spark, sf, "park_metadata"), "park_id")
 
 
+@query(f"""WITH r AS (SELECT DISTINCT trim(ts_local) AS ingest_key, NULL::TIMESTAMPTZ AS ts_utc, trim(ts_local) AS x, 'Europe/Athens' AS zone FROM silver_prepair WHERE ts_local IS NOT NULL),
+{INSTANTS[INSTANTS.index("w AS (") :]} SELECT x AS ts_local, floor(epoch_us(first_at) / 1000000)::BIGINT AS utc_s FROM (SELECT ingest_key AS x, first_at FROM i)""")
+def localize_utc(spark, sf):
+    """Every time text of the exports as an instant, wall times in one zone: gaps, overlaps, zones of the texts' own."""
+    rows = silver(spark, sf).filter("ts_local is not null").select(F.trim("ts_local").alias("ts_local")).distinct()
+    at = instants.instant_of(F.col("ts_local")).getField("first_us")
+    return rows.select("ts_local", F.floor(at / F.lit(1_000_000)).cast("long").alias("utc_s"))
+
+
 # ---- quality ---------------------------------------------------------------
 
 
