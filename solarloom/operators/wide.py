@@ -39,9 +39,11 @@ def daily_readings(silver: DataFrame, only: Column | None = None, units: CommonU
 def delta(batch: DataFrame) -> DataFrame:
     """Cells of a batch: ``CELL, version, low, high, n``.
 
-    Ties inside a run are broken by key and value; a null run is the oldest.
+    Ties inside a run are broken by key (hexadecimal ones as their bytes) and
+    value; a null run is the oldest.
     """
-    version = F.struct(F.coalesce("run_id", F.lit("")).alias("run_id"), F.coalesce("ingest_key", F.lit("")).alias("key"), F.col("common").alias("value"))
+    key = F.coalesce(F.unhex("ingest_key"), F.encode("ingest_key", "UTF-8"), F.lit(b"")).alias("key")
+    version = F.struct(F.coalesce("run_id", F.lit("")).alias("run_id"), key, F.col("common").alias("value"))
     return batch.groupBy(*CELL).agg(F.max(version).alias("version"), F.min("common").alias("low"), F.max("common").alias("high"), F.count("*").alias("n"))
 
 
@@ -55,12 +57,18 @@ def cells_of(rows: DataFrame) -> DataFrame:
     return rows.select(*ENTITY, F.explode("cells").alias("c")).select(*ENTITY, "c.*")
 
 
-def compact(runs: list[DataFrame]) -> DataFrame:
-    """Merge runs of cells: the latest version of each cell wins."""
-    cells = reduce(DataFrame.unionByName, runs)
+def latest(cells: DataFrame) -> DataFrame:
+    """Cells of several runs to one each: the latest version wins."""
     return cells.groupBy(*CELL).agg(F.max("version").alias("version"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
 
 
+def compact(runs: list[DataFrame]) -> DataFrame:
+    """Merge runs of sparse rows into cells.  A run has one row for a park's day,
+    so the rows meet in one shuffle by park and day, which serves the merge of
+    their cells and the sparse rows made of these."""
+    return latest(cells_of(reduce(DataFrame.unionByName, runs).repartition(*ENTITY)))
+
+
 def differs() -> Column:
     return F.col("high") - F.col("low") > TOLERANCE * F.greatest(F.abs("low"), F.abs("high"))
 
@@ -141,9 +149,6 @@ class WideStore:
         sparse(cells).sortWithinPartitions(*ENTITY).write.parquet(path)
         return path
 
-    def _read(self, path: str) -> DataFrame:
-        return cells_of(self.spark.read.parquet(path))
-
     def upsert(self, batch: DataFrame) -> None:
         """Append one batch of ``daily_readings`` rows; history is not read
         unless a level is full."""
@@ -152,15 +157,15 @@ class WideStore:
             if len(self.levels[level]) >= self.fanout:
                 if level + 1 == len(self.levels):
                     self.levels.append([])
-                self.levels[level + 1].append(self._write(compact([self._read(p) for p in self.levels[level]]), level + 1))
+                self.levels[level + 1].append(self._write(compact([self.spark.read.parquet(p) for p in self.levels[level]]), level + 1))
                 for path in self.levels[level]:
                     remove_folder(self.spark, path)
                 self.levels[level] = []
 
     def cells(self) -> DataFrame:
         """All cells: the few runs left are merged as they are read."""
-        runs = [self._read(p) for level in self.levels for p in level]
-        return compact(runs) if len(runs) > 1 else runs[0]
+        runs = [self.spark.read.parquet(p) for level in self.levels for p in level]
+        return compact(runs) if len(runs) > 1 else cells_of(runs[0])
 
 
 def stored(silver: DataFrame, batches: int = BATCHES) -> WideStore:
