@@ -76,14 +76,14 @@ def loess_wide(y: np.ndarray, span: int, weights: np.ndarray | None = None) -> n
     half, size, kernels, edges = _wide_kernels(n, span)
     w = np.ones(n) if weights is None else weights
     shift = y.mean()
-    fw, fy = np.fft.rfft(w, size), np.fft.rfft(w * (y - shift), size)
-    inner = lambda f, p: np.fft.irfft(f * kernels[p], size)[span - 1 : n]
-    left = lambda v, p: edges[p] @ v[:span]
-    right = lambda v, p: (edges[p] @ v[::-1][:span])[::-1] * (-1) ** p
-    moment = lambda f, v, p: np.concatenate([left(v, p), inner(f, p), right(v, p)])
     v = w * (y - shift)
-    s0, s1, s2 = (moment(fw, w, p) for p in range(3))
-    y0, y1 = (moment(fy, v, p) for p in range(2))
+    spectra = np.fft.rfft(np.stack([w, v]), size)
+    inner = [np.fft.irfft(spectra[: 2 - p // 2] * kernels[p], size)[:, span - 1 : n] for p in range(3)]
+    # Both ends and both series at once, so that each table of weights is read once.
+    ends = np.ascontiguousarray(np.stack([w[:span], w[::-1][:span], v[:span], v[::-1][:span]], axis=1))
+    outer = [edges[p] @ ends[:, : 4 - 2 * (p // 2)] for p in range(3)]
+    whole = lambda p, k: np.concatenate([outer[p][:, 2 * k], inner[p][k], outer[p][::-1, 2 * k + 1] * (-1) ** p])
+    s0, s1, s2, y0, y1 = whole(0, 0), whole(1, 0), whole(2, 0), whole(0, 1), whole(1, 1)
     ok = s0 > 1e-9 * max(1.0, s0.max())
     s0 = np.where(ok, s0, 1.0)
     mean = s1 / s0
@@ -92,6 +92,12 @@ def loess_wide(y: np.ndarray, span: int, weights: np.ndarray | None = None) -> n
     return np.where(ok, y0 / s0 - slope * mean + shift, y)
 
 
+def average(v: np.ndarray, k: int) -> np.ndarray:
+    """Means of all ``k`` successive values."""
+    sums = np.r_[0.0, np.cumsum(v)]
+    return (sums[k:] - sums[:-k]) / k
+
+
 def stl(y: np.ndarray, period: int, robust: bool = True, seasonal: int = 7, outer: int = 15) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Trend, seasonal part and remainder of a series of at least two periods.
 
@@ -102,7 +108,6 @@ def stl(y: np.ndarray, period: int, robust: bool = True, seasonal: int = 7, oute
     odd = lambda v: int(np.ceil(v)) // 2 * 2 + 1
     span_t, span_l = odd(1.5 * period / (1 - 1.5 / seasonal)), period + 1 + period % 2
     trend, weights, season = np.zeros(n), np.ones(n), np.zeros(n)
-    average = lambda v, k: np.convolve(v, np.ones(k) / k, mode="valid")
     for _ in range(outer if robust else 1):
         before = trend + season
         for _ in range(2 if robust else 5):
