@@ -52,11 +52,11 @@ def loess(y: np.ndarray, span: int, weights: np.ndarray | None = None, ahead: in
     return np.where(ok, (k * v).sum(axis=-1) + slope * (at - mean), y[..., np.clip(at, 0, n - 1).astype(int)])
 
 
-@lru_cache(maxsize=64)
-def _wide_kernels(n: int, span: int) -> tuple:
-    """Transforms of the inner kernel times 1, d, d**2, and the weights of the edges."""
+@lru_cache(maxsize=8)
+def _wide_kernels(size: int, span: int) -> tuple:
+    """Transforms of the inner kernel times 1, d, d**2, and the weights of the
+    edges; they depend on the padded size and the span, not on the series."""
     half = (span - 1) // 2
-    size = 1 << (n + span).bit_length()
     d = np.arange(-half, half + 1.0)
     inner = _tricube(d, np.array(float(half)))
     # Correlation with the kernel is convolution with the reversed one.
@@ -64,7 +64,7 @@ def _wide_kernels(n: int, span: int) -> tuple:
     at = np.arange(half)[:, None]
     d = np.arange(span)[None, :] - at
     edge = _tricube(d, span - 1.0 - at)
-    return half, size, kernels, [edge * d**p for p in range(3)]
+    return kernels, [edge * d**p for p in range(3)]
 
 
 def loess_wide(y: np.ndarray, span: int, weights: np.ndarray | None = None) -> np.ndarray:
@@ -73,7 +73,8 @@ def loess_wide(y: np.ndarray, span: int, weights: np.ndarray | None = None) -> n
     n = len(y)
     if span >= n or span < 64 or span % 2 == 0:
         return loess(y, span, weights)
-    half, size, kernels, edges = _wide_kernels(n, span)
+    size = 1 << (n + span).bit_length()
+    kernels, edges = _wide_kernels(size, span)
     w = np.ones(n) if weights is None else weights
     shift = y.mean()
     v = w * (y - shift)
